@@ -120,7 +120,7 @@ def category_paths(register: DataFrame) -> DataFrame:
         .where(F.col("e.article").isNotNull())
         .groupBy("file", F.col("e.article").alias("ArtikelId"))
         .agg(F.max(F.struct("e.kind", "e.path")).alias("last"))
-        .select("file", "ArtikelId", compact("last.path").alias("path"))
+        .select("file", "ArtikelId", compact(F.col("last.path")).alias("path"))
     )
 
 
