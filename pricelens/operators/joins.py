@@ -35,29 +35,36 @@ def salted_lookup(
     return big.withColumn("__salt", spread).join(repeated, [*names, "__salt"], how).drop("__salt")
 
 
+def hot_keys(df: DataFrame, on: Names, heavy: int, most: int) -> list[tuple]:
+    """The keys with more than ``heavy`` rows, at most ``most`` of them, the largest first."""
+    names = as_names(on)
+    counts = df.groupBy(*(col(n) for n in names)).agg(F.count(F.lit(1)).alias("__rows"))
+    top = counts.where(F.col("__rows") > heavy).orderBy(F.col("__rows").desc(), *names).limit(most)
+    return [tuple(row) for row in top.drop("__rows").collect()]
+
+
 def skew_join(
     big: DataFrame,
     lookup: DataFrame,
     on: Names,
     how: str = "left",
     heavy: int = 1_000_000,
-    share: float = 0.001,
+    most: int = 1000,
     salts: int = 256,
 ) -> DataFrame:
     """Join ``big`` to a lookup table of any size, when a few keys of ``big`` may be hot.
 
-    Hot keys have more than ``heavy`` rows and more than ``share`` of all rows, so there are at most
-    ``1 / share`` of them and their list may be broadcast. Only their rows are spread over ``salts``
-    tasks, and only their lookup rows are repeated.
+    The keys of ``big`` are counted first; that is one aggregation over the key columns. Without a
+    hot key this is a plain join. Otherwise the rows of the hot keys, at most ``most`` keys, are
+    spread over ``salts`` tasks and only their lookup rows are repeated. A key that is left out of
+    the list has less than one in ``most`` rows.
     """
     names = as_names(on)
-    counts = big.groupBy(*(col(n) for n in names)).agg(F.count(F.lit(1)).alias("__rows"))
-    total = counts.agg(F.sum("__rows")).scalar()
-    hot = F.broadcast(
-        counts.where(F.col("__rows") > heavy)
-        .where(F.col("__rows") > total * share)
-        .select(*(col(n) for n in names), F.lit(True).alias("__hot"))
-    )
+    keys = hot_keys(big, names, heavy, most)
+    if not keys:
+        return big.join(lookup, names, how)
+    schema = T.StructType([*(big.schema[n] for n in names), T.StructField("__hot", T.BooleanType())])
+    hot = F.broadcast(big.sparkSession.createDataFrame([(*k, True) for k in keys], schema))
     lanes = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     lane = F.when(F.col("__hot"), F.pmod(F.col("__hash"), F.lit(salts)).cast("int")).otherwise(F.lit(0))
     spread = (

@@ -16,6 +16,10 @@ RUNTIME_OPTIONS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
+START_OPTIONS = {
+    # no Python call sites in error messages: recording them costs more than building the plan
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -30,7 +34,7 @@ def build_session(app_name: str = "pricelens", master: str | None = None, **opti
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_OPTIONS, **options}.items():
+    for key, value in {**RUNTIME_OPTIONS, **START_OPTIONS, **options}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

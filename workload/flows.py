@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from pricelens.functions.nulls import as_number
 from pricelens.operators.basket import basket_rules
-from pricelens.operators.clusters import CLUSTERINGS, add_clusterings, fit_kmeans, name_clusters, nearest_centre, standard_scale
+from pricelens.operators.clusters import CLUSTERINGS, add_clusterings, fit_kmeans, fit_scaling, name_clusters, nearest_centre
 from pricelens.operators.nearest_text import distinct_texts, word_counts
 from pricelens.plans.analyse import analysis_base, analysis_table, derive_measures
 from pricelens.plans.catalogue import article_rows, articles_from_xml, category_levels, category_paths, reference_from_fixed_width
@@ -235,16 +235,17 @@ def _(spark, sf):
 
 @query("M2_standard_scaling", "SELECT p_partkey, round((p_retailprice - (SELECT avg(p_retailprice) FROM part)) / (SELECT stddev_pop(p_retailprice) FROM part), 6) AS price, round((p_size - (SELECT avg(p_size) FROM part)) / (SELECT stddev_pop(p_size) FROM part), 6) AS size FROM part")
 def _(spark, sf):
-    scaled = standard_scale(table(spark, sf, "part"), ("p_retailprice", "p_size"))
+    part = table(spark, sf, "part")
+    scaled = fit_scaling(part, ("p_retailprice", "p_size")).apply(part)
     return scaled.select("p_partkey", F.round("p_retailprice_scaled", 6).alias("price"), F.round("p_size_scaled", 6).alias("size"))
 
 
 @query("M3_kmeans")
 def _(spark, sf):
-    columns = ("p_retailprice_scaled", "p_size_scaled")
-    scaled = materialise(standard_scale(table(spark, sf, "part"), ("p_retailprice", "p_size")), "scaled")
-    model = fit_kmeans(scaled, columns, 4, restarts=1)
-    return scaled.groupBy(nearest_centre(model, columns).alias("cluster")).agg(F.count("*").alias("n"))
+    part = table(spark, sf, "part")
+    scaling = fit_scaling(part, ("p_retailprice", "p_size"))
+    model = fit_kmeans(part, scaling, 4, restarts=1)
+    return part.groupBy(nearest_centre(model, scaling).alias("cluster")).agg(F.count("*").alias("n"))
 
 
 @query("M4_cluster_names", """WITH m AS (SELECT l_returnflag AS cluster, avg(l_extendedprice) AS a, avg(l_quantity) AS b FROM lineitem GROUP BY ALL),

@@ -14,6 +14,7 @@ from pricelens.plans.analyse import consequent_texts, join_group_names
 from pricelens.plans.prepare import join_reference, prepare_catalogue
 from pricelens.plans.sales import SalesRules, combined_sales, system_a, system_b
 from pricelens.plans.track import article_conditions
+from pricelens.session import materialise
 from workload import roles as R
 from workload.registry import query
 from workload.roles import sql, table
@@ -25,6 +26,12 @@ def prepared(spark, sf):
     return main, prepare_catalogue(R.competitor_raw(spark, sf))
 
 
+def stored(spark, sf):
+    """The same, written once, for queries that use a side several times."""
+    main, competitors = prepared(spark, sf)
+    return materialise(main, "prepared-main"), materialise(competitors, "prepared-competitors")
+
+
 @query("J1_left_join_present_keys", sql('SELECT m."UID", c."Konkurrenz", c."Preis" AS price FROM main m LEFT JOIN competitor c ON m."EAN" = c."EAN"', "main", "competitor"))
 def _(spark, sf):
     main, comp = prepared(spark, sf)
@@ -53,7 +60,7 @@ _CASCADE = 'SELECT m."UID", c.other AS "Preis_Konkurrenz", c.tag AS "Joined_on",
 
 
 def _cascade_input(spark, sf):
-    main, comp = prepared(spark, sf)
+    main, comp = stored(spark, sf)
     return C.with_empty_offer(main), comp.where(F.col("Konkurrenz") == "EUROPE")
 
 
@@ -71,7 +78,7 @@ def _(spark, sf):
 
 @query("J4_best_offers", sql('SELECT "UID", "Konkurrenz", tag AS "Joined_on", other AS "Preis_Konkurrenz", rid FROM cascade QUALIFY row_number() OVER (PARTITION BY "UID", "Konkurrenz" ORDER BY abs("Preis" - other), rid) = 1', "cascade"))
 def _(spark, sf):
-    main, comp = prepared(spark, sf)
+    main, comp = stored(spark, sf)
     return C.best_offers(main, comp, R.SETTINGS.companies, "UID").select("UID", "Konkurrenz", "Joined_on", "Preis_Konkurrenz", "rid")
 
 
@@ -125,10 +132,10 @@ def _(spark, sf):
 
 @query("J9_consequent_text", "SELECT p.p_partkey::varchar AS \"UID\", q.p_name AS \"Consequents_Art_Txt_Lang\" FROM part p LEFT JOIN part q ON q.p_partkey = p.p_size * 3")
 def _(spark, sf):
-    articles = table(spark, sf, "part").select(
-        F.col("p_partkey").cast("string").alias("UID"), F.col("p_name").alias("Art_Txt_Lang"), (F.col("p_size") * 3).cast("string").alias("Consequents")
-    )
-    return consequent_texts(articles).select("UID", "Consequents_Art_Txt_Lang")
+    part, number = table(spark, sf, "part"), F.col("p_partkey").cast("string")
+    rules = part.select(number.alias("UID"), (F.col("p_size") * 3).cast("string").alias("Consequents"))
+    articles = part.select(number.alias("UID"), F.col("p_name").alias("Art_Txt_Lang"))
+    return consequent_texts(rules, articles).select("UID", "Consequents_Art_Txt_Lang")
 
 
 @query("J10_group_names", "SELECT DISTINCT p_type AS \"Warengruppe\", p_brand, min(p_name) OVER (PARTITION BY p_type) AS \"Warengruppe_Bezeichnung\" FROM part")
@@ -282,7 +289,7 @@ def _(spark, sf):
 
 @query("A12_match_rates", sql('SELECT "Konkurrenz", tag AS "Joined_on", count(DISTINCT "UID") AS matched, any_value(n) AS articles, count(DISTINCT "UID") / any_value(n) AS share FROM cascade JOIN (SELECT "Konkurrenz" AS k, count(DISTINCT "UID") AS n FROM cascade GROUP BY ALL) ON k = "Konkurrenz" GROUP BY ALL', "cascade"))
 def _(spark, sf):
-    main, comp = prepared(spark, sf)
+    main, comp = stored(spark, sf)
     return C.match_rates(C.best_offers(main, comp, R.SETTINGS.companies, "UID"))
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pricelens.settings import JoinKey, Settings, output_columns
 
@@ -25,8 +26,15 @@ SETTINGS = Settings(
 AS_OF = "2001-08-01"
 
 
+SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A test table. Its schema is looked up in the file once per process."""
+    path = f"{sf}/{name}.parquet"
+    if path not in SCHEMAS:
+        SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(SCHEMAS[path]).parquet(path)
 
 
 def main_raw(spark: SparkSession, sf: str) -> DataFrame:
