@@ -187,3 +187,13 @@ def test_match_catalogues(spark, rows):
     assert everyone.count() == 10
     rates = match_rates(result).select("Konkurrenz", "Joined_on", "matched", "articles")
     assert ("X", "EAN", 1, 4) in rows(rates)
+
+
+def test_rank_of_one_large_group(spark):
+    frame = spark.range(2000).select(
+        F.lit("one").alias("UID"), "id", F.when(F.col("id") % 10 != 0, (F.col("id") * 7919 % 200).cast("double")).alias("Preisdifferenz")
+    )
+    ranked = rank_candidates(frame, "UID", "id").collect()
+    priced = sorted((r.Preisdifferenz, r.id) for r in ranked if r.Preisdifferenz is not None)
+    assert {(r.Preisdifferenz, r.id): r.Rank for r in ranked if r.Rank is not None} == {k: i + 1 for i, k in enumerate(priced)}
+    assert len(ranked) == 2000

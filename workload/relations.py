@@ -321,7 +321,7 @@ def _ranked(spark, sf):
 _CANDIDATES = """candidates AS (SELECT l_partkey AS "UID", l_suppkey AS "Konkurrenz", l_orderkey, l_linenumber, CASE WHEN l_returnflag <> 'N' THEN abs(p_retailprice - l_extendedprice / l_quantity) END AS gap FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 
 
-@query("W1_rank_candidates", f'WITH {_CANDIDATES} SELECT "UID", l_orderkey, l_linenumber, gap, CASE WHEN gap IS NOT NULL THEN row_number() OVER (PARTITION BY "UID", gap IS NULL ORDER BY gap, l_orderkey, l_linenumber) END AS "Rank" FROM candidates')
+@query("W1_rank_candidates", f'WITH {_CANDIDATES} SELECT "UID", l_orderkey, l_linenumber, gap, CASE WHEN gap IS NOT NULL THEN (row_number() OVER (PARTITION BY "UID", gap IS NULL ORDER BY gap, l_orderkey, l_linenumber))::int END AS "Rank" FROM candidates')
 def _(spark, sf):
     ranked = rank_candidates(_ranked(spark, sf), "UID", ["l_orderkey", "l_linenumber"])
     return ranked.select("UID", "l_orderkey", "l_linenumber", F.col("Preisdifferenz_absolut").alias("gap"), "Rank")
