@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from pricelens.functions import nulls as N
 from pricelens.functions import text as X

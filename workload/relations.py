@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from pricelens.operators import cascade as C
 from pricelens.operators.basket import basket_rules
-from pricelens.operators.joins import aligned_update, fill_missing_join, left_join_present, salted_lookup
+from pricelens.operators.joins import aligned_update, fill_missing_join, left_join_present
 from pricelens.operators.nearest_text import nearest_text
 from pricelens.operators.outliers import difference_spread, flag_outliers
 from pricelens.operators.ranking import average_rank, first_name_per_group, keep_best, last_write_wins, price_difference, rank_candidates
