@@ -1,8 +1,9 @@
 """SQL equivalents (DuckDB) of the queries that SQL can express."""
 
-from pricelens.llm.quality import BOILERPLATE, ENDINGS, MAX_LOSS, SEPARATORS, SYMBOLS
+from pricelens.llm.quality import ENDINGS, MAX_LOSS, PHRASES, SYMBOLS
 
 SPACE_CHARS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+BOILERPLATE = "|".join(p if p.isascii() and p[0].isalpha() else f"[{p}]" for p in PHRASES)
 UPPER_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 
@@ -42,7 +43,7 @@ judged AS (
   SELECT r, line, length(core) AS chars,
     NOT regexp_matches(core, {_text(ENDINGS)})
     OR length(regexp_replace(core, '(!!|\\?\\?)|[^!?]|[!?]', '\\1', 'g')) >= n
-    OR length(regexp_replace(core, {_text(SEPARATORS)}, '', 'g')) >= 2
+    OR length(regexp_replace(core, '[^|»›•·]+', '', 'g')) >= 2
     OR regexp_matches(lower(core), {_text(BOILERPLATE)})
     OR length(regexp_replace(core, {_text(SYMBOLS)}, '', 'g')) > n AS fails
   FROM parts

@@ -6,30 +6,36 @@ rows get equal verdicts, and columns other than ``doc_id`` and ``text`` are neve
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricelens.llm.common import SPACES, let, split_words
 
 ENDINGS = "[.!?:;…\"'”»)\\]]$"
-SEPARATORS = "[^|»›•·]+"
+TWO_SEPARATORS = "(?s)[|»›•·].*[|»›•·]"
 SYMBOLS = "[^#*$%&|<>]+"
-BOILERPLATE = (
-    "all rights reserved|copyright|licen[sc]ed under|released under the|public license|cookie|privacy policy"
-    "|terms of (use|service)|enable javascript|subscribe|sign (in|up)|log ?in|click here|lorem ipsum|[{}]"
+PHRASES = (
+    "all rights reserved", "copyright", "licensed under", "licenced under", "released under the", "public license",
+    "cookie", "privacy policy", "terms of use", "terms of service", "enable javascript", "subscribe", "sign in",
+    "sign up", "login", "log in", "click here", "lorem ipsum", "{", "}",
 )
 MAX_LOSS = 0.3
 
 
 def line_fails(line: Column) -> Column:
     """Whether a line that has a word breaks a rule: ending, navigation, boilerplate, shouting or symbols."""
-    core = F.btrim(line, F.lit(SPACES))
-    words = F.length(F.regexp_replace(core, "[^\\x20\\x09-\\x0D]+", "")) + 1
-    punctuation = ~core.rlike(ENDINGS) | (F.length(F.regexp_replace(core, "(!!|\\?\\?)|[^!?]|[!?]", "$1")) >= words)
-    navigation = F.length(F.regexp_replace(core, SEPARATORS, "")) >= 2
-    boilerplate = F.lower(core).rlike(BOILERPLATE)
-    symbols = F.length(F.regexp_replace(core, SYMBOLS, "")) > words
-    return (core != "") & (punctuation | navigation | boilerplate | symbols)
+    def judge(core: Column, n_words: Column) -> Column:
+        without = lambda mark: F.length(core) - F.length(F.replace(core, F.lit(mark), F.lit("")))
+        punctuation = ~core.rlike(ENDINGS) | (without("!!") + without("??") >= n_words)
+        boilerplate = let(F.lower(core), lambda low: reduce(or_, (F.contains(low, F.lit(p)) for p in PHRASES)))
+        symbols = F.length(F.regexp_replace(core, SYMBOLS, "")) > n_words
+        return (core != "") & (punctuation | core.rlike(TWO_SEPARATORS) | boilerplate | symbols)
+
+    blanks = lambda core: F.length(F.regexp_replace(core, "[^\\x20\\x09-\\x0D]+", ""))
+    return let(F.btrim(line, F.lit(SPACES)), lambda core: let(blanks(core) + 1, lambda n: judge(core, n)))
 
 
 def _repeat_words(words: Column) -> Column:
@@ -66,11 +72,11 @@ def line_quality(docs: DataFrame, max_loss: float = MAX_LOSS, keep_columns: bool
 
     def lines(all_lines: Column) -> Column:
         filled = F.filter(all_lines, lambda x: F.btrim(x, F.lit(SPACES)) != "")
-        passed = F.filter(all_lines, lambda x: ~line_fails(x))
         chars = lambda a: F.aggregate(a, F.lit(0), lambda n, x: n + F.length(F.btrim(x, F.lit(SPACES))))
+        passed = let(F.filter(all_lines, lambda x: ~line_fails(x)), lambda p: F.struct(chars(p).alias("chars"), F.array_join(p, "\n").alias("text")))
         return F.struct(
             let(filled, lambda f: F.size(f) - F.size(F.array_distinct(f))).cast("long").alias("n_dup_lines"),
-            chars(all_lines).alias("chars"), chars(passed).alias("kept_chars"), F.array_join(passed, "\n").alias("cleaned"),
+            chars(all_lines).alias("chars"), passed.alias("passed"),
         )
 
     judged = docs.select(
@@ -79,11 +85,11 @@ def line_quality(docs: DataFrame, max_loss: float = MAX_LOSS, keep_columns: bool
         F.length(F.regexp_replace(text, SYMBOLS, "")).cast("long").alias("n_symbols"),
     )
     base_failed = (F.col("w.n_words") < 50) | (100 * F.col("w.n_repeat_words") > 50 * F.col("w.n_words"))
-    lost = F.when(F.col("l.chars") == 0, 0.0).otherwise(1 - F.col("l.kept_chars") / F.col("l.chars"))
-    kept = ~base_failed & (F.col("l.kept_chars") >= (1 - max_loss) * F.col("l.chars"))
+    lost = F.when(F.col("l.chars") == 0, 0.0).otherwise(1 - F.col("l.passed.chars") / F.col("l.chars"))
+    kept = ~base_failed & (F.col("l.passed.chars") >= (1 - max_loss) * F.col("l.chars"))
     if keep_columns:
-        return judged.select("__row", kept.alias("__kept"), F.col("l.cleaned").alias("__cleaned")).select("__row.*", "__kept", "__cleaned")
+        return judged.select("__row", kept.alias("__kept"), F.col("l.passed.text").alias("__cleaned")).select("__row.*", "__kept", "__cleaned")
     return judged.select(
         "doc_id", "w.n_words", "w.word_chars", "n_symbols", "l.n_dup_lines", "w.n_repeat_words",
-        base_failed.alias("base_failed"), lost.alias("lost_share"), kept.alias("kept"), F.col("l.cleaned").alias("cleaned"),
+        base_failed.alias("base_failed"), lost.alias("lost_share"), kept.alias("kept"), F.col("l.passed.text").alias("cleaned"),
     )
