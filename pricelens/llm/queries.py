@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
+from pricelens.llm.bpe import decode, encode
 from pricelens.llm.common import documents
 from pricelens.llm.lines import kept_text, with_bitmaps
 from pricelens.llm.oracle import LINE_DEDUP, QUALITY
@@ -41,3 +42,12 @@ def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_quality_rules", QUALITY)
 def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return line_quality(documents(spark, folder)).drop("lost_share", "cleaned")
+
+
+@query("op5_bpe_round_trip")
+def bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    return decode(encode(documents(spark, folder), vocabulary), vocabulary).select(
+        "doc_id", "n_tokens", F.sha2(F.col("ids").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
