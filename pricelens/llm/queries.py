@@ -7,11 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+
 from pricelens.llm.bpe import decode, encode
 from pricelens.llm.common import documents
 from pricelens.llm.lines import kept_text, with_bitmaps
+from pricelens.llm.mixing import mix
 from pricelens.llm.oracle import LINE_DEDUP, QUALITY
 from pricelens.llm.quality import line_quality
+from pricelens.llm.shards import kd_shards
 from pricelens.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,3 +54,18 @@ def bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_tokens", F.sha2(F.col("ids").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query("op1_kd_tree_shards")
+def kd_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return kd_shards(documents(spark, folder), shards=24).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+@query("op8_mixing")
+def mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mix(documents(spark, folder)).select(
+        "doc_id", F.col("__source").alias("source"), F.col("__lang").alias("lang"), F.col("__topic").alias("topic"),
+        F.col("__tokens").alias("n_tokens"), F.col("__probability").alias("probability"), F.col("__kept").alias("kept"),
+    )
