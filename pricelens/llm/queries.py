@@ -15,6 +15,7 @@ from pricelens.llm.mixing import mix
 from pricelens.llm.oracle import LINE_DEDUP, QUALITY
 from pricelens.llm.quality import line_quality
 from pricelens.llm.shards import kd_shards
+from pricelens.llm.vectors import near_vectors
 from pricelens.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,3 +70,8 @@ def mixing(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.col("__source").alias("source"), F.col("__lang").alias("lang"), F.col("__topic").alias("topic"),
         F.col("__tokens").alias("n_tokens"), F.col("__probability").alias("probability"), F.col("__kept").alias("kept"),
     )
+
+
+@query("op9_embedding_near_dedup")
+def embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors(spark.read.parquet(f"{folder}/embeddings.parquet"))
