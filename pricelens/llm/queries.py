@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pricelens.llm.bpe import decode, encode
 from pricelens.llm.common import documents
+from pricelens.llm.jaccard import near_duplicates
 from pricelens.llm.lines import kept_text, with_bitmaps
 from pricelens.llm.mixing import mix
 from pricelens.llm.oracle import LINE_DEDUP, QUALITY
@@ -75,3 +76,8 @@ def mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_embedding_near_dedup")
 def embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
+@query("op10_jaccard_join")
+def jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(documents(spark, folder), n=4, per_cent=85).select("doc_id", "n_shingles", "component_id")
