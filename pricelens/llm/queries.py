@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelens.llm.bpe import decode, encode
-from pricelens.llm.common import documents
+from pricelens.llm.common import documents, fold
 from pricelens.llm.jaccard import near_duplicates
+from pricelens.llm.langid import identify, train
 from pricelens.llm.lines import kept_text, with_bitmaps
 from pricelens.llm.mixing import mix
 from pricelens.llm.oracle import LINE_DEDUP, QUALITY
@@ -81,3 +82,11 @@ def embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_jaccard_join")
 def jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(documents(spark, folder), n=4, per_cent=85).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op3_language_id")
+def language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    held_out = fold(F.col("doc_id"), 5) == 0
+    model, bounds = train(docs.where(~held_out))
+    return identify(docs, model, bounds, {"held_out": held_out}).select("doc_id", "held_out", "lang_pred", F.round("score", 9).alias("score"), "rejected")
