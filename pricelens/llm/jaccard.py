@@ -122,19 +122,22 @@ def _verified(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, per_cent: int = 80) -> DataFrame:
-    """``doc_id, pa, pb, n_shingles, component_id`` per row; ``pa, pb`` is the print of the text."""
+    """``doc_id, pa, pb, n_shingles, component_id, keeper`` per row.
+
+    ``pa, pb`` is the print of the text; the keeper of a component is its row with the smallest id, then print.
+    """
     rows = _sets(docs, n, per_cent)
     found = rows.where("prefix IS NOT NULL")
     size = F.col("n_shingles").alias("size")
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "pa", "pb")
     classes = materialise(
-        found.groupBy("sa", "sb", size).agg(F.min("doc_id").alias("first"), F.first("prefix").alias("prefix"))
+        found.groupBy("sa", "sb", size).agg(F.min(row).alias("first"), F.first("prefix").alias("prefix"))
         .select("*", F.monotonically_increasing_id().alias("cid"), F.xxhash64("prefix", "size").alias("ga"), F.xxhash64(F.lit(1), "prefix", "size").alias("gb")),
         "set-classes",
     )
-    one_row = found.groupBy("sa", "sb", size).agg(F.min_by(F.struct("doc_id", "pa", "pb"), F.struct("doc_id", "pa", "pb")).alias("r"))
-    named = classes.select("sa", "sb", "size", "cid").join(one_row, ["sa", "sb", "size"])
-    same = named["r.doc_id"].eqNullSafe(found["doc_id"]) & (named["r.pa"] == found["pa"]) & (named["r.pb"] == found["pb"])
-    sets = materialise(found.join(named, same).select("cid", named["size"], "shared").dropDuplicates(["cid"]), "class-sets")
+    named = classes.select("size", "cid", "first.doc_id", "first.pa", "first.pb")
+    same = named["doc_id"].eqNullSafe(found["doc_id"]) & (named["pa"] == found["pa"]) & (named["pb"] == found["pb"])
+    sets = materialise(found.join(named, same).select("cid", "size", "shared").dropDuplicates(["cid"]), "class-sets")
     groups = materialise(classes.groupBy("ga", "gb", "size").agg(F.min("cid").alias("gid"), F.first("prefix").alias("prefix")), "groups")
     members = materialise(classes.select("ga", "gb", "size", "cid").join(groups.select("ga", "gb", "size", "gid"), ["ga", "gb", "size"]).select("gid", "cid"), "members")
     lists = materialise(groups.select("gid", "size", F.explode("prefix").alias("token")), "prefix-lists")
@@ -192,5 +195,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, per_cent: int = 80) -> DataFram
     settled = classes.select("sa", "sb", "size", "first", "cid").join(parts.withColumnRenamed("id", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     names = settled.groupBy("component").agg(F.min("first").alias("named"))
     by_class = settled.join(names, "component").select("sa", "sb", F.col("size").alias("n_shingles"), "named")
-    linked = found.select("doc_id", "pa", "pb", "n_shingles", "sa", "sb").join(by_class, ["sa", "sb", "n_shingles"]).select("doc_id", "pa", "pb", "n_shingles", F.col("named").alias("component_id"))
-    return linked.unionByName(rows.where("prefix IS NULL").select("doc_id", "pa", "pb", "n_shingles", F.col("doc_id").alias("component_id")))
+    keeper = F.col("named.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("named.pa") == F.col("pa")) & (F.col("named.pb") == F.col("pb"))
+    linked = found.select("doc_id", "pa", "pb", "n_shingles", "sa", "sb").join(by_class, ["sa", "sb", "n_shingles"]).select(
+        "doc_id", "pa", "pb", "n_shingles", F.col("named.doc_id").alias("component_id"), keeper.alias("keeper")
+    )
+    alone = rows.where("prefix IS NULL").select("doc_id", "pa", "pb", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("keeper"))
+    return linked.unionByName(alone)

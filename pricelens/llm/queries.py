@@ -17,6 +17,7 @@ from pricelens.llm.mixing import mix
 from pricelens.llm.oracle import LINE_DEDUP, QUALITY
 from pricelens.llm.quality import line_quality
 from pricelens.llm.shards import kd_shards
+from pricelens.llm.suffixes import without_repeats
 from pricelens.llm.vectors import near_vectors
 from pricelens.session import configure
 
@@ -90,3 +91,11 @@ def language_id(spark: SparkSession, folder: str) -> DataFrame:
     held_out = fold(F.col("doc_id"), 5) == 0
     model, bounds = train(docs.where(~held_out))
     return identify(docs, model, bounds, {"held_out": held_out}).select("doc_id", "held_out", "lang_pred", F.round("score", 9).alias("score"), "rejected")
+
+
+@query("op4_suffix_dedup")
+def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return without_repeats(documents(spark, folder)).select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
