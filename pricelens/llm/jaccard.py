@@ -22,7 +22,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricelens.llm import hashing as H
@@ -37,13 +37,13 @@ SPARE_BITS = 14
 FEW = 2
 
 
-def in_chunks(docs: DataFrame) -> tuple[DataFrame, int, int]:
-    """``doc_id, text, pa, pb, chunk``, the number of chunks, and the bytes of text."""
+def in_chunks(docs: DataFrame, **more: Column) -> tuple[DataFrame, int, int]:
+    """``doc_id, text, pa, pb, chunk`` and the columns ``more``, the number of chunks, and the bytes of text."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, math.ceil(total / CHUNK_BYTES))
     mark = text_print(F.col("text"))
     chunk = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int")
-    return docs.select("doc_id", "text", mark["a"].alias("pa"), mark["b"].alias("pb"), chunk.alias("chunk")), chunks, total
+    return docs.select("doc_id", "text", mark["a"].alias("pa"), mark["b"].alias("pb"), chunk.alias("chunk"), *(c.alias(n) for n, c in more.items())), chunks, total
 
 
 def exchange_counts(chunked: DataFrame, keys: Callable, chunks: int, bits: int) -> DataFrame:

@@ -15,6 +15,7 @@ from pricelens.llm.langid import identify, train
 from pricelens.llm.lines import kept_text, with_bitmaps
 from pricelens.llm.mixing import mix
 from pricelens.llm.oracle import LINE_DEDUP, QUALITY
+from pricelens.llm.pitman_yor import score_texts
 from pricelens.llm.quality import line_quality
 from pricelens.llm.shards import kd_shards
 from pricelens.llm.suffixes import without_repeats
@@ -99,3 +100,8 @@ def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return without_repeats(documents(spark, folder)).select(
         "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query("op2_pitman_yor")
+def pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
+    return score_texts(documents(spark, folder), fold(F.col("doc_id"), 10) == 0)
