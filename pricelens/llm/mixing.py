@@ -86,4 +86,5 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, budget: fl
     cells = materialise(keyed.groupBy(*named).agg(F.sum("__tokens").alias("tokens")), "cells")
     targets = targets or {m: tempered_targets(cells, m) for m in MARGINALS}
     drawn = materialise(calibrated(rake(cells, targets), budget), "drawn").select(*(F.col(m).alias(f"__{m}") for m in MARGINALS), F.col("probability").alias("__probability"))
-    return keyed.join(drawn, [f"__{m}" for m in MARGINALS], "left").withColumn("__kept", F.col("__u") < F.col("__probability")).drop("__u")
+    placed = keyed.join(drawn, [f"__{m}" for m in MARGINALS], "left").withColumn("__kept", F.col("__u") < F.col("__probability"))
+    return placed.select(*(f"`{c}`" for c in docs.columns), *(f"__{m}" for m in MARGINALS), "__tokens", "__probability", "__kept")
