@@ -6,8 +6,8 @@ the counts back in the same order, so a shingle that every document holds costs
 wanted similarity share a shingle of their prefixes; documents with too few shared shingles leave at once.
 
 Documents with equal sets are one class, classes with equal prefix and size one group. Groups that share a prefix
-shingle form a list. A list is not expanded into pairs: its groups are first compared with one of them, and only
-groups that did not get into one component meet again, until few pairs are left, which are then all compared. Group
+shingle form a list. A long list is not expanded into pairs at once: its groups are first compared with one of them, in a few
+rounds, and only groups that did not get into one component are then compared with each other. Group
 pairs are cut by size, expanded to classes, and verified on the whole sets.
 
 Sets are compared by 64-bit hashes of their shingles. Texts that are null or without words have an empty set and link
@@ -33,8 +33,8 @@ from pricelens.session import materialise
 CHUNK_BYTES = 24 << 20
 #: Bits of a shingle hash beyond those of the number of shingles that tell shingles apart when documents are counted.
 SPARE_BITS = 14
-#: Pairs per list entry below which the rest of a round is expanded.
-FEW = 2
+#: Rounds in which the groups of long lists meet one of them each, and pairs per entry from which a list is long.
+PIVOT_ROUNDS, PAIRS_PER_ENTRY = 3, 4
 
 
 def in_chunks(docs: DataFrame, **more: Column) -> tuple[DataFrame, int, int]:
@@ -146,39 +146,29 @@ def near_duplicates(docs: DataFrame, n: int = 5, per_cent: int = 80) -> DataFram
 
     fits = F.lit(100) * F.least("size_a", "size_b") >= F.lit(per_cent) * F.greatest("size_a", "size_b")
     within = members.where("gid <> cid").select(F.col("gid").alias("a"), F.col("cid").alias("b"))
-    edges, used = _verified(within, sets, per_cent), None
-    edges = materialise(edges, "similar")
-    while True:
+    edges = materialise(_verified(within, sets, per_cent), "similar")
+    for turn in range(PIVOT_ROUNDS + 1):
         parts = components(edges)
         placed = members.join(parts.withColumnRenamed("id", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+        placed = materialise(placed, "placed")
         # a group whose classes lie in several components counts as none of them
         groups_in = placed.groupBy("gid").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).select("gid", F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(-1 - F.col("gid")).alias("component"))
-        placed = materialise(placed, "placed")
-        entries = lists.join(groups_in, "gid")
-        if used is not None:
-            entries = entries.join(used, ["token", "gid"], "left_anti")
-        entries = materialise(entries, "open-lists")
-        by_part = entries.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("gid", "size")).alias("g"))
-        per_list = materialise(by_part.groupBy("token").agg(
-            F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"),
-            F.min(F.struct("n", "g.gid", "g.size", "component")).alias("pivot"), F.max(F.struct("n", "g.gid", "g.size", "component")).alias("core"),
-        ).where("parts > 1"), "open-lists")
-        todo = per_list.agg(F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2), F.sum("n")).first()
-        if not todo[0]:
-            break
-        last = todo[0] <= FEW * todo[1]
-        if last:
+        entries = materialise(lists.join(groups_in, "gid"), "open-lists")
+        by_part = entries.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64(F.lit(turn), "gid").alias("draw"), "gid", "size")).alias("g"))
+        per_list = by_part.groupBy("token").agg(
+            F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.min(F.struct("g", "component")).alias("p"),
+        ).where("parts > 1").withColumn("long", (F.col("n") * F.col("n") - F.col("squares")) / 2 > F.lit(PAIRS_PER_ENTRY) * F.col("n"))
+        per_list = materialise(per_list, "open-lists")
+        last = turn == PIVOT_ROUNDS or per_list.where("long").isEmpty()
+        if last:  # all that is left between components
             sides = entries.join(per_list.select("token"), "token")
             b = sides.select("token", F.col("gid").alias("gb_"), F.col("size").alias("size_b"), F.col("component").alias("cb_"))
             pairs = sides.withColumnRenamed("size", "size_a").join(b, "token").where((F.col("gid") < F.col("gb_")) & (F.col("component") != F.col("cb_")) & fits)
             pairs = pairs.select(F.col("gid").alias("g1"), F.col("gb_").alias("g2")).distinct()
-        else:
-            pick = F.when(F.lit(used is None), F.col("core")).otherwise(F.col("pivot"))
-            pivots = per_list.select("token", pick.alias("p")).select("token", F.col("p.gid").alias("g1"), F.col("p.size").alias("size_b"), F.col("p.component").alias("cb_"))
+        else:  # the groups of a long list with one of them
+            pivots = per_list.where("long").select("token", F.col("p.g.gid").alias("g1"), F.col("p.g.size").alias("size_b"), F.col("p.component").alias("cb_"))
             pairs = entries.withColumnRenamed("size", "size_a").join(pivots, "token").where((F.col("gid") != F.col("g1")) & (F.col("component") != F.col("cb_")) & fits)
             pairs = pairs.select("g1", F.col("gid").alias("g2")).distinct()
-            done = pivots.select("token", F.col("g1").alias("gid"))
-            used = materialise(done if used is None else used.unionByName(done), "pivots")
         one = placed.select(F.col("gid").alias("g1"), F.col("cid").alias("a"), F.col("component").alias("pa"))
         two = placed.select(F.col("gid").alias("g2"), F.col("cid").alias("b"), F.col("component").alias("pb"))
         expanded = pairs.join(one, "g1").join(two, "g2").where("pa <> pb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
