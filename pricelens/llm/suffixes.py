@@ -5,8 +5,8 @@ a segment, so equal strings lie in segments of one name. Names that occur once,
 a whole, are settled by counts. The bytes of the remaining distinct segments go to buckets of bounded size, where the
 BWT of the collection is built from the last symbol of each segment to the first: a round inserts one symbol for each
 segment and passes once, sequentially, through the BWT and the common prefixes. Strings whose common prefix with a
-neighbour reaches ``length`` are repeated. A name with too many distinct segments for a bucket is cut: its segments are
-named anew by longer strings, in the end by the whole string.
+neighbour reaches ``length`` are repeated. Before that, segments are named anew by
+longer short strings, which settles most of them; a name that still has too many for a bucket is cut by whole strings.
 
 A null text is empty. Texts shorter than ``length`` keep all their bytes. Rows with equal ``doc_id`` are documents of
 their own, so a repeated row repeats its strings. Only ``doc_id`` and ``text`` are read.
@@ -82,9 +82,9 @@ def bwt_repeats(segments: list[bytes], length: int) -> list[np.ndarray]:
     """
     m = len(segments)
     sizes = np.fromiter(map(len, segments), dtype=np.int64, count=m)
-    columns = np.zeros((m, sizes.max() + 1), dtype=np.uint16)
+    columns = np.zeros((m, sizes.max() + 1), dtype=np.uint8)  # UTF-8 has no byte 255
     for i, s in enumerate(segments):
-        columns[i, : len(s)] = np.frombuffer(s, dtype=np.uint8)[::-1].astype(np.uint16) + 1
+        columns[i, : len(s)] = np.frombuffer(s, dtype=np.uint8)[::-1] + np.uint8(1)
     bwt, common, row = columns[:, 0].copy(), np.zeros(m, dtype=np.int32), np.arange(m)
     owner, size, live = np.arange(m, dtype=np.int32), np.zeros(m, dtype=np.int32), np.arange(m)
     for step in range(1, int(sizes.max()) + 1):
@@ -139,7 +139,7 @@ def _bytes_of(refs: DataFrame, docs: DataFrame, length: int) -> DataFrame:
 
 
 def _fit_buckets(pieces: DataFrame, length: int) -> DataFrame:
-    """Name the segments of names that have too many anew, by longer seeds, until every name fits into a bucket.
+    """Name all segments anew by longer seeds, and those of names that still have too many by whole strings.
 
     ``pieces``: ``name, rid, off, n, once, data``. At the last seed a name is one string. Segments that become equal
     are settled by their count and come back with their ``n`` in ``settled``.
@@ -158,7 +158,8 @@ def _fit_buckets(pieces: DataFrame, length: int) -> DataFrame:
 
     done = None
     for seed in (length // 2, length * 3 // 4, length):
-        big = materialise(pieces.groupBy("name").count().where(F.col("count") > NAME_SEGMENTS).select("name"), "big-names")
+        limit = NAME_SEGMENTS if seed == length else 0  # the shorter seeds part all names, the whole string only large ones
+        big = materialise(pieces.groupBy("name").count().where(F.col("count") > limit).select("name"), "big-names")
         if big.isEmpty():
             break
         renamed = pieces.join(big, "name").select("name", "rid", "off", "once", "data").mapInPandas(
