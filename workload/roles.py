@@ -176,6 +176,7 @@ def pricing(spark: SparkSession, sf: str) -> DataFrame:
     kind = (
         F.when(F.col("o_orderpriority") == "1-URGENT", "Offerte")
         .when(F.col("o_orderpriority") == "2-HIGH", "Baustelle")
+        .when(F.col("o_orderpriority") == "3-MEDIUM", "Aktionspreise")
         .otherwise("Normal")
     )
     return table(spark, sf, "orders").select(F.col("o_orderpriority").alias("idpricing"), kind.alias("PricingLong")).distinct()
@@ -249,13 +250,13 @@ SQL = {
   l_shipdate::date AS "Date", l_extendedprice AS "GrossSales", l_extendedprice * (1 - l_discount) AS "Sales",
   l_extendedprice * (1 - l_discount) - l_quantity * 900 AS "Margin", l_quantity AS "Quantity",
   l_orderkey AS "OrderNo", o_custkey AS "idCustomer", l_linestatus AS system,
-  CASE o_orderpriority WHEN '1-URGENT' THEN 'Offerte' WHEN '2-HIGH' THEN 'Baustelle' ELSE 'Normal' END AS "PricingLong",
+  CASE o_orderpriority WHEN '1-URGENT' THEN 'Offerte' WHEN '2-HIGH' THEN 'Baustelle' WHEN '3-MEDIUM' THEN 'Aktionspreise' ELSE 'Normal' END AS "PricingLong",
   'Ä' || l_partkey AS "UniqueId", p_brand AS "Supplier",
   CASE WHEN p_type = 'PROMO' THEN '09-Andere' ELSE '05-Sanitär' END AS grp
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey""",
     "recent": """SELECT * FROM sales_lines WHERE grp = '05-Sanitär' AND "Date" > DATE '2000-08-01' AND "Sales" > 0""",
     "system_a": """SELECT "UniqueId", sum("GrossSales") AS "GrossSales", sum("Sales") AS "Sales", sum("Margin") AS "Margin",
-  sum("Quantity") AS "Quantity", avg(CASE WHEN "PricingLong" IN ('Offerte', 'Baustelle', 'Aktionspreis') THEN 1.0::double ELSE 0.0::double END) AS "ObjectRate",
+  sum("Quantity") AS "Quantity", avg(CASE WHEN "PricingLong" IN ('Offerte', 'Baustelle', 'Aktionspreise') THEN 1.0::double ELSE 0.0::double END) AS "ObjectRate",
   count(DISTINCT "OrderNo") AS "CountOfOrders", count(DISTINCT "idCustomer") AS "CountOfCustomers"
   FROM recent WHERE system = 'O' GROUP BY "UniqueId" """,
     "system_b": """SELECT "UniqueId", sum("GrossSales") AS "GrossSales", sum("Sales") AS "Sales", sum("Margin") AS "Margin",
