@@ -28,7 +28,7 @@ from pricelens.llm.hashing import BYTE, _tables, mix
 from pricelens.session import materialise
 
 #: Bytes of the short strings that name, strings of a segment, bytes of a bucket, and segments of a name in a bucket.
-SEED, SEGMENT, BUCKET_BYTES, NAME_SEGMENTS = 64, 400, 1 << 20, 2_000
+SEED, SEGMENT, BUCKET_BYTES, NAME_SEGMENTS = 64, 400, 1 << 18, 2_000
 
 
 def segments_of(raw: bytes, length: int, seed: int) -> Iterator[tuple[int, int, int, bool]]:
@@ -86,9 +86,11 @@ def bwt_repeats(segments: list[bytes], length: int) -> list[np.ndarray]:
     for i, s in enumerate(segments):
         columns[i, : len(s)] = np.frombuffer(s, dtype=np.uint8)[::-1] + np.uint8(1)
     bwt, common, row = columns[:, 0].copy(), np.zeros(m, dtype=np.int32), np.arange(m)
-    owner, size, live = np.arange(m, dtype=np.int32), np.zeros(m, dtype=np.int32), np.arange(m)
-    for step in range(1, int(sizes.max()) + 1):
+    span = int(sizes.max()) + 1
+    suffix, live = np.arange(m, dtype=np.int64) * span, np.arange(m)  # owner and size of a suffix in one number
+    for step in range(1, span):
         live = live[sizes[live] >= step]
+        live = live[np.argsort(row[live])]  # down the BWT, so that the common prefixes are passed through once
         n = len(bwt)
         by_symbol = np.argsort(bwt, kind="stable")
         place = np.empty(n, dtype=np.int64)
@@ -117,8 +119,9 @@ def bwt_repeats(segments: list[bytes], length: int) -> list[np.ndarray]:
 
         bwt, common = inserted(bwt, columns[live, step]), inserted(common, above)
         common[new[under] + 1] = below
-        owner, size = inserted(owner, live), inserted(size, step)
+        suffix = inserted(suffix, live * span + step)
         row[live] = new
+    owner, size = np.divmod(suffix, span)
     long = size >= length
     reach = np.concatenate([common, [0]])
     twice = long & ((reach[:-1] >= length) | (reach[1:] >= length))
