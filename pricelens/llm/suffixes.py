@@ -28,7 +28,7 @@ from pricelens.llm.hashing import BYTE, _tables, mix
 from pricelens.session import materialise
 
 #: Bytes of the short strings that name, strings of a segment, bytes of a bucket, and segments of a name in a bucket.
-SEED, SEGMENT, BUCKET_BYTES, NAME_SEGMENTS = 64, 400, 1 << 18, 2_000
+SEED, SEGMENT, BUCKET_BYTES, NAME_SEGMENTS = 64, 400, 1 << 16, 2_000
 
 
 def segments_of(raw: bytes, length: int, seed: int) -> Iterator[tuple[int, int, int, bool]]:
@@ -78,56 +78,70 @@ def bwt_repeats(segments: list[bytes], length: int) -> list[np.ndarray]:
     """For each segment, which of its strings of ``length`` bytes occur elsewhere in the collection.
 
     ``bwt`` and ``common`` list the suffixes inserted so far in order: the symbol before each (0: none left) and its
-    common prefix with the suffix above. The next suffix of a segment belongs where its first symbol maps to.
+    common prefix with the suffix above. ``key`` holds the first symbol of each and the row of what follows it, so the
+    next suffix of a segment belongs where the symbol before its last one and that row sort in.
     """
     m = len(segments)
     sizes = np.fromiter(map(len, segments), dtype=np.int64, count=m)
-    columns = np.zeros((m, sizes.max() + 1), dtype=np.uint8)  # UTF-8 has no byte 255
+    span = int(sizes.max()) + 1
+    columns = np.zeros((m, span), dtype=np.uint8)  # UTF-8 has no byte 255
     for i, s in enumerate(segments):
         columns[i, : len(s)] = np.frombuffer(s, dtype=np.uint8)[::-1] + np.uint8(1)
-    bwt, common, row = columns[:, 0].copy(), np.zeros(m, dtype=np.int32), np.arange(m)
-    span = int(sizes.max()) + 1
-    suffix, live = np.arange(m, dtype=np.int64) * span, np.arange(m)  # owner and size of a suffix in one number
+    bits = int(sizes.sum() + m).bit_length()
+    rows = (1 << bits) - 1
+    bwt, common = columns[:, 0].copy(), np.zeros(m, dtype=np.int16 if span < 1 << 15 else np.int32)
+    key, row, live = np.arange(-m, 0), np.arange(m), np.arange(m)
     for step in range(1, span):
         live = live[sizes[live] >= step]
-        live = live[np.argsort(row[live])]  # down the BWT, so that the common prefixes are passed through once
-        n = len(bwt)
-        by_symbol = np.argsort(bwt, kind="stable")
-        place = np.empty(n, dtype=np.int64)
-        place[by_symbol] = np.arange(n)
-        at, shift = row[live], m - int((bwt == 0).sum())
-        k = place[at]
-        new = k + shift
-        bounded = np.concatenate([common, [0]])
+        n, at = len(bwt), row[live]
+        fresh = (bwt[at].astype(np.int64) << bits) + at
+        order = np.argsort(fresh)
+        fresh, at, live = fresh[order], at[order], live[order]
+        place = np.searchsorted(key, fresh)
+        first = fresh - at
+        joined = np.append(place[1:] == place[:-1], False)  # the next new suffix comes directly below
+        before, after = key[place - 1], np.append(key, np.iinfo(np.int64).max)[place]
+        before[1:][joined[:-1]], after[:-1][joined[:-1]] = fresh[:-1][joined[:-1]], fresh[1:][joined[:-1]]
+        has, under = before >= first, after <= first + rows
+        bounded = np.append(common, common.dtype.type(0))
 
         def shared(low: np.ndarray, high: np.ndarray, bounded: np.ndarray = bounded) -> np.ndarray:
-            return 1 + np.minimum.reduceat(bounded, np.stack([low + 1, high + 1], axis=1).reshape(-1))[::2] if len(low) else low
+            down = np.argsort(low)  # down the BWT, so that the common prefixes are passed through once
+            out = np.empty(len(low), dtype=bounded.dtype)
+            if len(low):
+                out[down] = 1 + np.minimum.reduceat(bounded, np.stack([low[down] + 1, high[down] + 1], axis=1).reshape(-1))[::2]
+            return out
 
-        above = np.zeros(len(live), dtype=np.int64)
-        has = (k > 0) & (bwt[by_symbol[np.maximum(k - 1, 0)]] == bwt[at])
-        above[has] = shared(by_symbol[k[has] - 1], at[has])
-        under = (k < n - 1) & (bwt[by_symbol[np.minimum(k + 1, n - 1)]] == bwt[at])
-        below = shared(at[under], by_symbol[k[under] + 1])
+        above = np.zeros(len(live), dtype=common.dtype)
+        above[has] = shared((before - first)[has], at[has])
+        below = shared(at[under], (after - first)[under])
+        new = place + np.arange(len(live))
         old = np.ones(n + len(live), dtype=bool)
         old[new] = False
 
-        def inserted(values: np.ndarray, fresh, old: np.ndarray = old, new: np.ndarray = new) -> np.ndarray:
+        def inserted(values: np.ndarray, more: np.ndarray, old: np.ndarray = old, new: np.ndarray = new) -> np.ndarray:
             out = np.empty(len(old), dtype=values.dtype)
             out[old] = values
-            out[new] = fresh
+            out[new] = more
             return out
 
+        moved = np.cumsum(np.bincount(place, minlength=n))  # rows inserted above each row
+        key[m:] += moved[key[m:] & rows]
+        key = inserted(key, first + at + moved[at])
         bwt, common = inserted(bwt, columns[live, step]), inserted(common, above)
         common[new[under] + 1] = below
-        suffix = inserted(suffix, live * span + step)
         row[live] = new
-    owner, size = np.divmod(suffix, span)
-    long = size >= length
-    reach = np.concatenate([common, [0]])
-    twice = long & ((reach[:-1] >= length) | (reach[1:] >= length))
-    out = [np.zeros(max(0, s - length + 1), dtype=bool) for s in sizes]
-    for i, z in zip(owner[twice], size[twice], strict=True):
-        out[i][sizes[i] - z] = True
+    reach = np.append(common, common.dtype.type(0))
+    twice = (reach[:-1] >= length) | (reach[1:] >= length)
+    longer = np.empty(len(key), dtype=np.int64)  # the row of the suffix that has one symbol more
+    longer[key[m:] & rows] = np.arange(m, len(key))
+    out, at = [np.zeros(max(0, s - length + 1), dtype=bool) for s in sizes], np.arange(m)
+    for size in range(1, span):
+        live = np.flatnonzero(sizes >= size)
+        at[live] = longer[at[live]]
+        if size >= length:
+            for i in live[twice[at[live]]]:
+                out[i][sizes[i] - size] = True
     return out
 
 
