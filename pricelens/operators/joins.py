@@ -96,11 +96,14 @@ def left_join_present(
 
     A composite key is missing only if all its parts are; apart from that a missing part equals a
     missing part. Right columns come out with ``suffix``. Left rows that cannot match (no key, or
-    not ``active``) get a lane of their own by row hash instead of meeting in one null-key task.
+    not ``active``) get a lane by row hash, so that they do not meet in the task of their key; live
+    rows and all right rows have lane 0. Keys are compared in their own types.
     """
     left_names, right_names = as_names(left_on), as_names(right_on)
+    # a literal 0 would be folded into a condition on the left side, and the lane would leave the join keys
+    lane = F.pmod(_row_hash(right), F.lit(1)).cast("int")
     renamed = right.where(~missing(right_names)).select(
-        F.lit(0).alias("__lane"),
+        lane.alias("__lane"),
         *(_key(right, n).alias(f"__key{i}") for i, n in enumerate(right_names)),
         *(col(n).alias(n + suffix) for n in right.columns),
     )
@@ -116,11 +119,6 @@ def left_join_present(
     )
     if len(left_names) == 1:
         same = [F.col("__key_l0") == F.col("__key0")]
-        # a dead row's key may be null, which no hash join can spread: give it the lane as key
-        keyed = keyed.withColumn(
-            "__key_l0", F.coalesce(F.col("__key_l0").cast("string"), F.col("__lane_l").cast("string"))
-        )
-        renamed = renamed.withColumn("__key0", F.col("__key0").cast("string"))
     else:
         same = [F.col(f"__key_l{i}").eqNullSafe(F.col(f"__key{i}")) for i in range(len(left_names))]
     condition = reduce(and_, [F.col("__lane_l") == F.col("__lane"), *same])

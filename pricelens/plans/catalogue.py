@@ -9,7 +9,7 @@ from pricelens.functions.nulls import as_number, col, normalise_nulls
 from pricelens.functions.text import compact, path_level, repair_dos_text
 from pricelens.operators.ranking import last_write_wins
 from pricelens.sources.catalogue_xml import (
-    TEXTS, all_or_none, field_of, joined, nested, read_articles, read_register, register_entries,
+    REGISTER_DEPTH, TEXTS, all_or_none, field_of, joined, nested, read_articles, read_register, register_entries,
 )
 from pricelens.sources.fixed_width import Layout, read_fixed_width
 
@@ -21,7 +21,6 @@ ARTICLE_COLUMNS = (
     "Art_Menge", "BM_Einheit_Code", "BM_Einheit_Code_BM_Einheit", "AF_Nr", "AF_Txt", "AFZ_Txt",
     "AFZ_Nr", "Preis",
 )
-MAX_LEVELS = 4
 
 PRICE_ROW = (
     "struct<AF_Nr: string, AF_Txt: string, AFZ_Nr: string, AFZ_Txt: string, Preis: string, Preis_EAN: string>"
@@ -124,8 +123,9 @@ def category_paths(register: DataFrame) -> DataFrame:
     )
 
 
-def category_levels(paths: DataFrame, levels: int = MAX_LEVELS) -> DataFrame:
-    """The path as ``Category_Level_1 … n``; a short path is filled with its last entry."""
+def category_levels(paths: DataFrame, levels: int = REGISTER_DEPTH) -> DataFrame:
+    """The path as ``Category_Level_1 … n``, by default all levels a register can have; a short path is
+    filled with its last entry. A match result has the first four."""
     names = [path_level("path", i + 1).alias(f"Category_Level_{i + 1}") for i in range(levels)]
     return paths.select(*(col(c) for c in paths.columns if c != "path"), *names)
 
@@ -134,7 +134,7 @@ def with_categories(articles: DataFrame, categories: DataFrame) -> DataFrame:
     return articles.join(categories, [c for c in ("file", "ArtikelId") if c in articles.columns], "left")
 
 
-def articles_from_xml(spark: SparkSession, paths: str | list[str], levels: int = MAX_LEVELS) -> DataFrame:
+def articles_from_xml(spark: SparkSession, paths: str | list[str], levels: int = REGISTER_DEPTH) -> DataFrame:
     """All catalogues at once: article rows with categories and the file they come from."""
     categories = category_levels(category_paths(read_register(spark, paths)), levels)
     return with_categories(article_rows(read_articles(spark, paths)), categories)

@@ -57,6 +57,15 @@ def test_articles_from_xml(spark, rows, tmp_path):
     assert rows(table.where("ArtikelId = 'A2'").select(*levels).distinct()) == [("Bad",) * 4]
 
 
+def test_all_register_levels_are_kept(spark, rows, tmp_path):
+    opened = "".join(f'<Register_Element_{i} Txt="L{i}">' for i in range(1, 8))
+    closed = "".join(f"</Register_Element_{i}>" for i in range(7, 0, -1))
+    path = tmp_path / "deep.xml"
+    path.write_text(f"<K>{opened}<Element7_Nr>A</Element7_Nr>{closed}<Artikel Art_Nr_Anbieter=\"A\"><Preis><Preis_Pos>1</Preis_Pos></Preis></Artikel></K>", encoding="utf-8")
+    levels = [f"Category_Level_{i}" for i in range(1, 11)]
+    assert rows(articles_from_xml(spark, str(path)), *levels) == [("L1", "L2", "L3", "L4", "L5", "L6", "L7", "L7", "L7", "L7")]
+
+
 def test_articles_with_both_price_shapes_are_reported(spark, rows, tmp_path):
     articles = read_articles(spark, write_catalogue(tmp_path))
     assert rows(shape_conflicts(articles), "ArtikelId") == [("A4",)]

@@ -185,8 +185,40 @@ def test_match_catalogues(spark, rows):
     assert result.groupBy("UID", "Konkurrenz").count().where("count > 1").count() == 0
     everyone = match_catalogues(main, prepare_catalogue(other), Settings("m", {"X": keys, "Y": keys}), keep_unmatched=True)
     assert everyone.count() == 10
-    rates = match_rates(result).select("Konkurrenz", "Joined_on", "matched", "articles")
-    assert ("X", "EAN", 1, 4) in rows(rates)
+    rates = match_rates(result, main, {"X": keys, "Y": keys}).select("Konkurrenz", "Joined_on", "matched", "articles")
+    assert rows(rates) == [
+        ("X", "Art_Nr_Hersteller", 1, 3), ("X", "EAN", 1, 4), ("X", "Text_Similarity", 1, 2), ("X", "UID", 1, 5), ("Y", "EAN", 1, 5),
+    ]
+
+
+def test_article_without_price_leaves_other_matches_alone(spark, rows):
+    def article(number, price, text):
+        return (number, None, None, None, None, None, price, None, None, text, text)
+
+    other = prepare_catalogue(spark.createDataFrame([("X", *article("1", "9", "wc sitz weiss")), ("X", *article("7", "11", "lampe rund gross"))], "Konkurrenz string, " + RAW))
+    for price in ("10", None):
+        main = prepare_catalogue(spark.createDataFrame([article("1", price, "wc neu lampe anders"), article("2", "10", "lampe rund gross anders")], RAW))
+        result = match_catalogues(main, other, Settings("m", {"X": (JoinKey.of("UID"),)}))
+        assert ("2", "Text_Similarity", 11.0) in rows(result, "ArtikelId", "Joined_on", "Preis_Konkurrenz")
+
+
+def test_composite_dead_rows_do_not_meet_in_one_task(spark):
+    left = spark.range(4000).select(F.col("id"), F.lit(None).cast("string").alias("k"), F.lit(None).cast("string").alias("f"))
+    right = spark.createDataFrame([("a", "b", 1)], "k string, f string, p int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = left_join_present(left, right, ["k", "f"], ["k", "f"]).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) == 4 and max(r["count"] for r in sizes) < 2000
+
+
+def test_keys_are_compared_in_their_own_types(spark, rows):
+    left = spark.createDataFrame([(1,), (2,)], "k long")
+    right = spark.createDataFrame([(1.0, 5)], "k double, p int")
+    assert rows(left_join_present(left, right, "k", "k"), "k", "p___y") == [(1, 5), (2, None)]
 
 
 def test_rank_of_one_large_group(spark):

@@ -62,7 +62,7 @@ _XML_ROWS = """SELECT "ArtikelId", "FarbId", CASE WHEN "FarbId" IS NOT NULL THEN
 "Art_Nr_Hersteller", "Art_Nr_Hersteller_Firma", "Art_Txt_Kurz", "Art_Txt_Lang", CASE WHEN "FarbId" IS NOT NULL THEN "AF_Txt" END AS "AF_Txt",
 CASE WHEN "FarbId" IS NOT NULL THEN "AFZ_Txt" END AS "AFZ_Txt" """
 _XML_COLUMNS = ("ArtikelId", "FarbId", "AusführungsId", "Preis_Pos", "Preis_EAN", "Art_Nr_Hersteller", "Art_Nr_Hersteller_Firma", "Art_Txt_Kurz", "Art_Txt_Lang", "AF_Txt", "AFZ_Txt")
-_LEVELS = ', "Category_Level_1", "Category_Level_2", "Category_Level_2" AS "Category_Level_3", "Category_Level_2" AS "Category_Level_4"'
+_LEVELS = ', "Category_Level_1", ' + ", ".join(f'"Category_Level_2" AS "Category_Level_{i}"' for i in range(2, 11))
 
 
 @query("S1_xml_articles", sql(f"{_XML_ROWS} FROM main_raw", "main_raw"))
@@ -92,7 +92,7 @@ def _(spark, sf):
 @query("N1_articles_from_xml", sql(f"{_XML_ROWS}{_LEVELS} FROM main_raw", "main_raw"))
 def _(spark, sf):
     articles = articles_from_xml(spark, _catalogue_xml(spark, sf))
-    return articles.select(*_XML_COLUMNS, *(f"Category_Level_{i}" for i in range(1, 5)))
+    return articles.select(*_XML_COLUMNS, *(f"Category_Level_{i}" for i in range(1, 11)))
 
 
 def _article_file(spark, sf):

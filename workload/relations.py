@@ -287,10 +287,12 @@ def _(spark, sf):
     return price_change(rows, "1999-01-01", "2000-01-01")
 
 
-@query("A12_match_rates", sql('SELECT "Konkurrenz", tag AS "Joined_on", count(DISTINCT "UID") AS matched, any_value(n) AS articles, count(DISTINCT "UID") / any_value(n) AS share FROM cascade JOIN (SELECT "Konkurrenz" AS k, count(DISTINCT "UID") AS n FROM cascade GROUP BY ALL) ON k = "Konkurrenz" GROUP BY ALL', "cascade"))
+@query("A12_match_rates", sql("""SELECT "Konkurrenz", tag AS "Joined_on", matched, articles, matched / articles AS share FROM (
+SELECT *, ((SELECT count(DISTINCT "UID") FROM main) - coalesce(sum(matched) OVER (PARTITION BY "Konkurrenz" ORDER BY prio ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::bigint AS articles
+FROM (SELECT "Konkurrenz", prio, tag, count(DISTINCT "UID") AS matched FROM cascade GROUP BY ALL))""", "main", "cascade"))
 def _(spark, sf):
     main, comp = stored(spark, sf)
-    return C.match_rates(C.best_offers(main, comp, R.SETTINGS.companies, "UID"))
+    return C.match_rates(C.best_offers(main, comp, R.SETTINGS.companies, "UID"), main, R.SETTINGS.companies)
 
 
 @query("A13_first_name_per_group", "SELECT p_brand, min(p_name) AS p_name FROM part GROUP BY ALL")
