@@ -244,7 +244,7 @@ def _(spark, sf):
 def _(spark, sf):
     part = table(spark, sf, "part")
     scaling = fit_scaling(part, ("p_retailprice", "p_size"))
-    model = fit_kmeans(part, scaling, 4, restarts=1)
+    model = fit_kmeans(part, scaling, 4)
     return part.groupBy(nearest_centre(model, scaling).alias("cluster")).agg(F.count("*").alias("n"))
 
 
@@ -267,7 +267,7 @@ def _measured(spark, sf):
 
 @query("M5_clusterings")
 def _(spark, sf):
-    rows = add_clusterings(materialise(_measured(spark, sf), "measures"), restarts=1)
+    rows = add_clusterings(materialise(_measured(spark, sf), "measures"))
     return rows.select("UID", *(c.name for c in CLUSTERINGS))
 
 
@@ -323,11 +323,11 @@ def _sales(spark, sf):
     return sales_measures(article_master(R.article_lookup(spark, sf), rules), combined_sales(*_systems(spark, sf)))
 
 
-def _analysis_inputs(spark, sf):
+def _analysis_inputs(spark, sf, use_text=True):
     """Match result, sales and basket rules under the article ids of the match result."""
     main, competitors = prepared(spark, sf)
     main = materialise(main, "analysis-main")
-    matched = materialise(match_catalogues(main, competitors, R.SETTINGS, use_text=False), "analysis-matched")
+    matched = materialise(match_catalogues(main, competitors, R.SETTINGS, use_text=use_text), "analysis-matched")
     ids = main.select("UID", F.col("ArtikelId").cast("long").alias("id"))
     named = ids.select("UID", F.concat(F.lit("a"), "id").alias("UniqueId"))
     sales = _sales(spark, sf).join(named, "UniqueId").drop("UniqueId").withColumnRenamed("UID", "UniqueId")
@@ -347,11 +347,8 @@ spread AS (SELECT "Konkurrenz" AS k, stddev_pop("Preis" - "Preis_Konkurrenz") AS
 flagged AS (SELECT *, coalesce(abs("Preis" - "Preis_Konkurrenz") / "Preis" > 2.5 * sigma / "Preis", false) AS outlier FROM priced JOIN spread ON k = "Konkurrenz")"""
 
 
-@query("N8_analysis_base", sql("@", "cascade", "combined").replace("\n@", f""", {_BEST_BY_KEY}, wide AS (SELECT "UID", "Preis", {_WIDE_MATCH} FROM flagged GROUP BY ALL)
-SELECT w.*, round("Sales_LTM", 4) AS "Sales_LTM", "CountOfOrders", round(("GrossSales_LTM" - "Sales_LTM") / "GrossSales_LTM", 6) AS "Discount_perc", round(ln("Quantity_LTM" + 1), 6) AS "Quantity_LTM_Log", round(w."Preis" * "Quantity_LTM", 4) AS "GrossSales_Calculated"
-FROM wide w JOIN main m ON m."UID" = w."UID" LEFT JOIN (SELECT c.* FROM combined c JOIN part ON "UniqueId" = 'Ä' || p_partkey WHERE p_brand <> 'Brand#13' AND p_size <> 50) c ON c."UniqueId" = 'Ä' || m."ArtikelId" """))
-def _(spark, sf):
-    base = analysis_base(*_analysis_inputs(spark, sf), R.SETTINGS)
+def _base(inputs):
+    base = analysis_base(*inputs, R.SETTINGS)
     per_company = [f"{p}_{c}" for c in R.COMPANIES for p in ("Preis_Konkurrenz", "Joined_on", "Outlier")]
     return base.select(
         "UID", "Preis", *per_company, F.round("Sales_LTM", 4).alias("Sales_LTM"), "CountOfOrders", F.round("Discount_perc", 6).alias("Discount_perc"),
@@ -359,10 +356,28 @@ def _(spark, sf):
     )
 
 
+@query("N8_analysis_base", sql("@", "cascade", "combined").replace("\n@", f""", {_BEST_BY_KEY}, wide AS (SELECT "UID", "Preis", {_WIDE_MATCH} FROM flagged GROUP BY ALL)
+SELECT w.*, round("Sales_LTM", 4) AS "Sales_LTM", "CountOfOrders", round(("GrossSales_LTM" - "Sales_LTM") / "GrossSales_LTM", 6) AS "Discount_perc", round(ln("Quantity_LTM" + 1), 6) AS "Quantity_LTM_Log", round(w."Preis" * "Quantity_LTM", 4) AS "GrossSales_Calculated"
+FROM wide w JOIN main m ON m."UID" = w."UID" LEFT JOIN (SELECT c.* FROM combined c JOIN part ON "UniqueId" = 'Ä' || p_partkey WHERE p_brand <> 'Brand#13' AND p_size <> 50) c ON c."UniqueId" = 'Ä' || m."ArtikelId" """))
+def _(spark, sf):
+    return _base(_analysis_inputs(spark, sf, use_text=False))
+
+
+#: The same from the best offer of all stages, the text stage among them.
+_FLAGGED_BEST = _BEST_BY_KEY.split(",\n", 1)[1].replace("best_key", "best")
+
+
+@query("N8_analysis_base_text", sql("@", "best", "combined").replace("\n@", f""", {_FLAGGED_BEST}, wide AS (SELECT "UID", "Preis", {_WIDE_MATCH} FROM flagged GROUP BY ALL)
+SELECT w.*, round("Sales_LTM", 4) AS "Sales_LTM", "CountOfOrders", round(("GrossSales_LTM" - "Sales_LTM") / "GrossSales_LTM", 6) AS "Discount_perc", round(ln("Quantity_LTM" + 1), 6) AS "Quantity_LTM_Log", round(w."Preis" * "Quantity_LTM", 4) AS "GrossSales_Calculated"
+FROM wide w JOIN main m ON m."UID" = w."UID" LEFT JOIN (SELECT c.* FROM combined c JOIN part ON "UniqueId" = 'Ä' || p_partkey WHERE p_brand <> 'Brand#13' AND p_size <> 50) c ON c."UniqueId" = 'Ä' || m."ArtikelId" """))
+def _(spark, sf):
+    return _base(_analysis_inputs(spark, sf))
+
+
 @query("N8_analysis_table")
 def _(spark, sf):
     groups = table(spark, sf, "part").select(F.substring("p_type", 1, 3).alias("Warengruppe"), F.col("p_type").alias("Text deutsch"))
-    return analysis_table(*_analysis_inputs(spark, sf), groups, R.SETTINGS, restarts=1)
+    return analysis_table(*_analysis_inputs(spark, sf), groups, R.SETTINGS)
 
 
 @query("N9_derived_measures", sql("""SELECT "UniqueId" AS "UID", round(("GrossSales_LTM" - "Sales_LTM") / "GrossSales_LTM", 6) AS "Discount_perc", round("Margin_LTM" / "Sales_LTM", 6) AS "Margin_perc",

@@ -1,6 +1,8 @@
 """Checks of joins, aggregates, windows, sorts and set operations."""
 
-from pyspark.sql import Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelens.operators import cascade as C
@@ -76,6 +78,29 @@ def _(spark, sf):
     return C.single_join_cascade(left, right, R.BY_UID, "UID").select("UID", "Preis_Konkurrenz", "Joined_on", "Txt_Kurz_Konkurrenz")
 
 
+_CASCADE_ALL = 'SELECT m."UID", k."Konkurrenz", c.other AS "Preis_Konkurrenz", c.tag AS "Joined_on", c.kurz AS "Txt_Kurz_Konkurrenz" FROM main m CROSS JOIN (SELECT DISTINCT "Konkurrenz" FROM competitor) k LEFT JOIN cascade c ON m."UID" = c."UID" AND k."Konkurrenz" = c."Konkurrenz"'
+
+
+def _all_companies(spark, sf, cascade):
+    """``cascade(left, right, keys)`` of every competitor with its own keys, one below the other."""
+    main, comp = stored(spark, sf)
+    parts = [
+        cascade(C.with_empty_offer(main), comp.where(F.col("Konkurrenz") == company), keys).withColumn("Konkurrenz", F.lit(company))
+        for company, keys in R.SETTINGS.companies.items()
+    ]
+    return reduce(DataFrame.unionByName, [p.select("UID", "Konkurrenz", "Preis_Konkurrenz", "Joined_on", "Txt_Kurz_Konkurrenz") for p in parts])
+
+
+@query("J4_chained_cascade_all", sql(_CASCADE_ALL, "main", "cascade"))
+def _(spark, sf):
+    return _all_companies(spark, sf, C.chained_cascade)
+
+
+@query("J4_single_join_cascade_all", sql(_CASCADE_ALL, "main", "cascade"))
+def _(spark, sf):
+    return _all_companies(spark, sf, lambda left, right, keys: C.single_join_cascade(left, right, keys, "UID"))
+
+
 @query("J4_best_offers", sql('SELECT "UID", "Konkurrenz", tag AS "Joined_on", other AS "Preis_Konkurrenz", rid FROM cascade QUALIFY row_number() OVER (PARTITION BY "UID", "Konkurrenz" ORDER BY abs("Preis" - other), rid) = 1', "cascade"))
 def _(spark, sf):
     main, comp = stored(spark, sf)
