@@ -99,9 +99,15 @@ def unpack(data: bytes) -> np.ndarray:
 
 
 def pack_counts(counts: np.ndarray) -> bytes:
-    return zstandard.compress(np.ascontiguousarray(counts.astype(np.uint32).view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+    """Counts byte plane by byte plane, in four planes or, from 2**32 on, in eight."""
+    counts = counts.astype(np.int64)
+    kind = np.int64 if len(counts) and counts.max() >= 2**32 else np.uint32
+    width = np.dtype(kind).itemsize
+    planes = np.ascontiguousarray(counts.astype(kind).view(np.uint8).reshape(-1, width).T)
+    return bytes([width]) + zstandard.compress(planes.tobytes(), 1)
 
 
 def unpack_counts(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(data), dtype=np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view(np.uint32).reshape(-1)
+    width = data[0]
+    planes = np.frombuffer(zstandard.decompress(data[1:]), dtype=np.uint8).reshape(width, -1)
+    return np.ascontiguousarray(planes.T).view(np.int64 if width == 8 else np.uint32).reshape(-1)
