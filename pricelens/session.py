@@ -15,6 +15,8 @@ RUNTIME_OPTIONS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # long texts: a batch on its way to Python is cut by its bytes, not only by its rows
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
 }
 START_OPTIONS = {
     # no Python call sites in error messages: recording them costs more than building the plan
