@@ -19,6 +19,7 @@ from pricelens.llm.pitman_yor import score_texts
 from pricelens.llm.quality import line_quality
 from pricelens.llm.shards import kd_shards
 from pricelens.llm.suffixes import without_repeats
+from pricelens.llm.token_files import read_ids, write_ids
 from pricelens.llm.vectors import near_vectors
 from pricelens.session import configure
 
@@ -105,3 +106,10 @@ def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_pitman_yor")
 def pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
     return score_texts(documents(spark, folder), fold(F.col("doc_id"), 10) == 0)
+
+
+@query("op13_token_files")
+def token_files(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    manifest = write_ids(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return read_ids(spark, manifest, docs.schema["doc_id"].dataType.simpleString()).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
