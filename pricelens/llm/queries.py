@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pricelens.llm.alignment import align
 from pricelens.llm.bpe import decode, encode
 from pricelens.llm.common import documents, fold
 from pricelens.llm.jaccard import near_duplicates
@@ -113,3 +114,11 @@ def token_files(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     manifest = write_ids(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
     return read_ids(spark, manifest, docs.schema["doc_id"].dataType.simpleString()).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op12_token_alignment")
+def token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary, model = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return align(documents(spark, folder), vocabulary, model).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )

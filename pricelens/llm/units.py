@@ -23,10 +23,10 @@ def ends_safely(unit: str) -> bool:
 
 
 def units(text: str) -> Iterator[str]:
-    """The units of ``text`` in order; joined they are the text."""
+    """The units of ``text`` in order; joined they are the text. A blank that ends the text is no unit of its own."""
     head, *rest = text.split(" ")
-    for word in rest:
-        if ends_safely(head):
+    for place, word in enumerate(rest, 1 - len(rest)):
+        if ends_safely(head) and (word or place):
             yield head
             head = " " + word
         else:
@@ -34,17 +34,18 @@ def units(text: str) -> Iterator[str]:
     yield head
 
 
-def slices(texts: list[str]) -> Iterator[list[str]]:
-    """The texts in order, in lists of about ``SLICE_CHARS`` characters."""
-    held, size = [], 0
-    for text in texts:
-        held.append(text)
-        size += len(text)
-        if size >= SLICE_CHARS:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
+def pieces(text: str) -> Iterator[str]:
+    """A text cut at such blanks into pieces of about ``SLICE_CHARS`` characters; all but the first begin with theirs."""
+    start = 0
+    while start + SLICE_CHARS < len(text):
+        at = text.find(" ", start + SLICE_CHARS)
+        while at >= 0 and not ends_safely(text[at - 1]):
+            at = text.find(" ", at + 1)
+        if at < 0 or at + 1 == len(text):
+            break
+        yield text[start:at]
+        start = at
+    yield text[start:]
 
 
 class UnitMemo:
@@ -61,38 +62,56 @@ class UnitMemo:
         self.unsafe: set[str] = set()
 
     def _odd(self, text: str) -> list:
-        found = list(units(" " + text if self.lead else text))
+        found = list(units(text))
         known = [self.held.get(u[1:]) if u[:1] == " " else None for u in found]
         rest = [u for u, k in zip(found, known, strict=True) if k is None]
         told = iter(self.strings(rest))
         return [next(told) if k is None else k for k in known]
 
+    def _slice(self, texts: list[str], lead: bool) -> Iterator[list]:
+        """The values of some texts; with ``lead`` each of them counts as if a blank stood before it."""
+        if 2 * len(self.held) > HELD:
+            self.held, self.older = {}, self.held
+        held, older = self.held, self.older
+        split = [t.split(" ") for t in texts]
+        fresh = [w for w in set().union(*split) if w not in held]
+        held.update([(w, older[w]) for w in fresh if w in older])
+        fresh = [w for w in fresh if w not in held]
+        good = [w for w in fresh if ends_safely(w)]
+        held.update(zip(good, self.words(good), strict=True))
+        unsafe = set(fresh).difference(good) if len(good) < len(fresh) else set()
+        plain = [unsafe.isdisjoint(s) for s in split]
+        heads = iter(()) if lead else iter(self.strings([s[0] for s, p in zip(split, plain, strict=True) if p]))
+        for text, words, fine in zip(texts, split, plain, strict=True):
+            if not fine:
+                yield self._odd(" " + text if lead else text)
+                continue
+            values = list(map(held.__getitem__, words))
+            if not lead:
+                values[0] = next(heads)
+            yield values
+        for word in good:
+            if len(word) > HELD_CHARS:
+                del held[word]
+
     def of(self, texts: list[str]) -> Iterator[list]:
-        """The values of the units of each text, in order."""
-        for part in slices(texts):
-            if 2 * len(self.held) > HELD:
-                self.held, self.older = {}, self.held
-            split = [t.split(" ") for t in part]
-            fresh = [w for w in set().union(*split) if w not in self.held]
-            self.held.update((w, self.older[w]) for w in fresh if w in self.older)
-            fresh = [w for w in fresh if w not in self.held]
-            good = [w for w in fresh if ends_safely(w)]
-            self.held.update(zip(good, self.words(good), strict=True))
-            self.unsafe.update(w for w in fresh if not ends_safely(w))
-            plain = [self.unsafe.isdisjoint(s) for s in split]
-            heads = iter(()) if self.lead else iter(self.strings([s[0] for s, p in zip(split, plain, strict=True) if p]))
-            held = self.held
-            for text, words, fine in zip(part, split, plain, strict=True):
-                if not fine:
-                    yield self._odd(text)
-                elif self.lead:
-                    yield [held[w] for w in words]
-                else:
-                    yield [next(heads), *[held[w] for w in words[1:]]]
-            for word in good:
-                if len(word) > HELD_CHARS:
-                    del held[word]
-            self.unsafe.clear()
+        """The values of the units of each text, in order; memory is bounded by a slice and by the values of one text."""
+        waiting, size = [], 0
+        for text in texts:
+            if len(text) > SLICE_CHARS:
+                yield from self._slice(waiting, self.lead)
+                waiting, size, out = [], 0, []
+                for i, piece in enumerate(pieces(text)):
+                    for values in self._slice([piece[1:] if i else piece], self.lead or i > 0):
+                        out += values
+                yield out
+                continue
+            waiting.append(text)
+            size += len(text)
+            if size >= SLICE_CHARS:
+                yield from self._slice(waiting, self.lead)
+                waiting, size = [], 0
+        yield from self._slice(waiting, self.lead)
 
 
 def can_be_cut(spec: dict) -> bool:
