@@ -63,3 +63,23 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND kept_chars >= (1 - {MAX_LOSS}) * chars AS kept
 FROM counts
 """
+
+TERMS = f"regexp_extract_all(translate(text, {UPPER_LOWER}), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+RANKED = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {TERMS} AS terms FROM documents WHERE text IS NOT NULL),
+totals AS (SELECT count(*) AS docs_n, sum(len(terms)) AS terms_n FROM docs WHERE len(terms) > 0),
+wanted AS (SELECT DISTINCT i, item_id, unnest(terms) AS term FROM (SELECT row_number() OVER () AS i, item_id, {TERMS} AS terms FROM benchmark)),
+counted AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM docs) WHERE term IN (SELECT term FROM wanted) GROUP BY r, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs_n + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM counted GROUP BY term), totals
+),
+lengths AS (SELECT r, doc_id, CAST(50 + (50 * len(terms) * docs_n) // terms_n AS BIGINT) AS m FROM docs, totals),
+scored AS (
+  SELECT i, item_id, doc_id, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM wanted JOIN weights USING (term) JOIN counted USING (term) JOIN lengths USING (r) GROUP BY i, item_id, doc_id, r
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST, r) AS place FROM scored WHERE score > 0)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 50
+"""

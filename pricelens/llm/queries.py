@@ -15,9 +15,10 @@ from pricelens.llm.jaccard import near_duplicates
 from pricelens.llm.langid import identify, train
 from pricelens.llm.lines import kept_text, with_bitmaps
 from pricelens.llm.mixing import mix
-from pricelens.llm.oracle import LINE_DEDUP, QUALITY
+from pricelens.llm.oracle import LINE_DEDUP, QUALITY, RANKED
 from pricelens.llm.pitman_yor import score_texts
 from pricelens.llm.quality import line_quality
+from pricelens.llm.ranked import rank
 from pricelens.llm.shards import kd_shards
 from pricelens.llm.suffixes import without_repeats
 from pricelens.llm.token_files import read_ids, write_ids
@@ -122,3 +123,8 @@ def token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return align(documents(spark, folder), vocabulary, model).select(
         "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
     )
+
+
+@query("op11_ranked_search", RANKED)
+def ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return rank(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
