@@ -54,6 +54,12 @@ BATCH_BYTES = 4 << 20
 MANIFEST = "part int, seq int, path string, n_ids long, n_docs long, n_bytes long"
 
 
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places ``start, start + 1, ...`` of all runs, one run after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(int(sizes.sum()))
+
+
 def _pack_rows(rows: np.ndarray, width: int) -> np.ndarray:
     """Rows of ``BLOCK`` numbers at ``width`` bits: slot by slot over lanes of 64-bit words."""
     slots = rows.reshape(len(rows), -1, LANES)
@@ -94,33 +100,37 @@ def pack_blocks(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
     head["low"], head["width"], head["patched"] = low[:, 0], width, (high > 0).sum(axis=1)
     head["count"] = np.minimum(BLOCK, len(ids) - BLOCK * np.arange(n))
     rows &= (np.uint64(1) << width.astype(np.uint64))[:, None] - np.uint64(1)
-    bodies: list[bytes] = [b""] * n
+    patched = head["patched"].astype(np.int64)
+    sizes = HEAD.itemsize + 8 * LANES * width + 6 * patched
+    starts = np.cumsum(sizes) - sizes
+    out = np.zeros(int(sizes.sum()), dtype=np.uint8)
+    out[starts[:, None] + np.arange(HEAD.itemsize)] = head.view(np.uint8).reshape(n, -1)
     for w in np.unique(width):
         at = np.flatnonzero(width == w)
-        packed = _pack_rows(rows[at], int(w))
-        for i, words in zip(at, packed, strict=True):
-            bodies[i] = words.tobytes()
-    out = io.BytesIO()
-    sizes = np.zeros(n, dtype=np.int64)
-    for i in range(n):
-        places = np.flatnonzero(high[i]) if head["patched"][i] else np.zeros(0, dtype=np.int64)
-        sizes[i] = out.write(head[i].tobytes() + bodies[i] + places.astype("<u2").tobytes() + high[i][places].astype("<u4").tobytes())
-    return out.getvalue(), sizes
+        packed = _pack_rows(rows[at], int(w)).reshape(len(at), -1).view(np.uint8)
+        out[(starts[at] + HEAD.itemsize)[:, None] + np.arange(packed.shape[1])] = packed
+    block, places = np.nonzero(high)
+    lists = starts + HEAD.itemsize + 8 * LANES * width
+    out[_spread(lists, 2 * patched)] = places.astype("<u2").view(np.uint8)
+    out[_spread(lists + 2 * patched, 4 * patched)] = high[block, places].astype("<u4").view(np.uint8)
+    return out.tobytes(), sizes
 
 
 def unpack_blocks(data: bytes, starts: np.ndarray) -> np.ndarray:
     """The ids of consecutive blocks that begin at ``starts`` in ``data``."""
-    heads = np.array([np.frombuffer(data, HEAD, 1, s)[0] for s in starts], dtype=HEAD)
+    raw = np.frombuffer(data, np.uint8)
+    heads = raw[starts[:, None] + np.arange(HEAD.itemsize)].reshape(-1).view(HEAD)
+    width, patched = heads["width"].astype(np.int64), heads["patched"].astype(np.int64)
     rows = np.zeros((len(starts), BLOCK), dtype=np.uint64)
-    for w in np.unique(heads["width"]):
-        at, size = np.flatnonzero(heads["width"] == w), 8 * LANES * int(w)
-        words = b"".join(data[s + HEAD.itemsize : s + HEAD.itemsize + size] for s in starts[at].tolist())
-        rows[at] = _unpack_rows(np.frombuffer(words, "<u8").reshape(len(at), int(w), LANES), int(w))
-    for i in np.flatnonzero(heads["patched"]):
-        n, w = int(heads["patched"][i]), int(heads["width"][i])
-        at = int(starts[i]) + HEAD.itemsize + 8 * LANES * w
-        places = np.frombuffer(data, "<u2", n, at)
-        rows[i, places] |= np.frombuffer(data, "<u4", n, at + 2 * n).astype(np.uint64) << np.uint64(w)
+    for w in np.unique(width):
+        at, size = np.flatnonzero(width == w), 8 * LANES * int(w)
+        words = raw[(starts[at] + HEAD.itemsize)[:, None] + np.arange(size)]
+        rows[at] = _unpack_rows(words.reshape(-1).view("<u8").reshape(len(at), int(w), LANES), int(w))
+    lists = starts + HEAD.itemsize + 8 * LANES * width
+    block = np.repeat(np.arange(len(starts)), patched)
+    places = raw[_spread(lists, 2 * patched)].view("<u2")
+    high = raw[_spread(lists + 2 * patched, 4 * patched)].view("<u4")
+    rows[block, places] |= high.astype(np.uint64) << width[block].astype(np.uint64)
     rows += heads["low"][:, None].astype(np.uint64)
     return rows[np.arange(BLOCK) < heads["count"][:, None].astype(np.int64)].astype("<u4")
 

@@ -14,8 +14,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 
 #: Units of a task that are remembered: at most so many, of at most so many characters. Characters worked on at once.
-HELD, HELD_CHARS, SLICE_CHARS = 400_000, 64, 1 << 20
+HELD, HELD_CHARS, SLICE_CHARS = 800_000, 64, 1 << 20
 BATCH = 1024
+#: Signs that may end a word (no apostrophe, which can begin a piece with letters), and the end of the Latin letters.
+TAIL, LATIN = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~", "\u0250"
 
 
 def ends_safely(unit: str) -> bool:
@@ -136,6 +138,8 @@ class UnitIds:
         self.memo = UnitMemo(self._words, self._strings) if can_be_cut(spec) else None
         self.blank = np.zeros(self.library.get_vocab_size(), dtype=bool)
         self.blank[[i for t, i in spec["model"]["vocab"].items() if t[0] == "Ġ"]] = True
+        self.special = [t["content"] for t in spec["added_tokens"]]
+        self.tails = {"": b""}
 
     def _strings(self, strings: list[str]) -> list[bytes]:
         out = []
@@ -143,17 +147,33 @@ class UnitIds:
             out += [np.array(e.ids, dtype="<u4").tobytes() for e in self.library.encode_batch_fast(strings[at : at + BATCH], add_special_tokens=False)]
         return out
 
-    def _words(self, words: list[str]) -> list[bytes]:
+    def _encoded(self, words: list[str]) -> list[bytes]:
         out = []
         for at in range(0, len(words), BATCH):
-            part = words[at : at + BATCH]
-            done = self.library.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)
+            done = self.library.encode_batch_fast([" " + " ".join(words[at : at + BATCH])], add_special_tokens=False)
             ids = np.array(done[0].ids, dtype="<u4")
             starts = (4 * np.flatnonzero(self.blank[ids])).tolist()  # a unit has its blank in front and no other
             data = ids.tobytes()
             out += [data[s:e] for s, e in zip(starts, [*starts[1:], len(data)], strict=True)]
         return out
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Signs behind a Latin letter or digit are a piece of their own, so a word is its core and its tail."""
+        cores = [w.rstrip(TAIL) for w in words]
+        cores = [c if c and c[-1].isalnum() and c[-1] < LATIN and not any(t in w for t in self.special) else w for c, w in zip(cores, words, strict=True)]
+        known, older = self.memo.held, self.memo.older
+        fresh = [c for c in dict.fromkeys(cores) if c not in known and c not in older]
+        told = dict(zip(fresh, self._encoded(fresh), strict=True))
+        tails = {w[len(c) :] for w, c in zip(words, cores, strict=True)} - self.tails.keys()
+        self.tails.update(zip(tails, self._strings(list(tails)), strict=True))
+        out = []
+        for word, core in zip(words, cores, strict=True):
+            ids = told.get(core) or known.get(core) or older[core]
+            out.append(ids if len(word) == len(core) else ids + self.tails[word[len(core) :]])
+        if len(self.tails) > BATCH:
+            self.tails = {"": b""}
+        return out
+
     def of(self, texts: list[str]) -> Iterator[bytes]:
         if self.memo is None:
             return iter(self._strings(texts))
