@@ -74,6 +74,16 @@ def words(c: str | Column) -> Column:
     return F.regexp_extract_all(F.lower(col(c)), F.lit(f"({WORD_PATTERN})"), 1)
 
 
+def server_text(c: str | Column) -> Column:
+    """A text as the database server compares it: case, accents and trailing blanks do not count."""
+    return F.collate(col(c), "UNICODE_CI_AI_RTRIM")
+
+
+def has_server_text(c: str | Column) -> Column:
+    """The server's ``> ''``: a text of blanks only is as empty as the empty one."""
+    return F.rtrim(col(c)) > ""
+
+
 def is_yes(c: str | Column) -> Column:
     """Yes/no text as boolean; anything that does not mean yes is false."""
     return F.coalesce(F.lower(col(c)).isin(list(YES_ANSWERS)), F.lit(False))

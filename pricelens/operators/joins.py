@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,65 +13,47 @@ from pyspark.sql import types as T
 from pricelens.functions.nulls import blank_to_null, col, is_missing, missing
 from pricelens.settings import Names, as_names
 
-SALTS = 16
 SPREAD = 4096
+#: Rows of a key that one task takes, and the share of all rows that a hot key has at least: one in so many. So there
+#: are fewer hot keys than that, whatever the table, and their list can be broadcast.
+TASK_ROWS, HOT_PARTS = 1_000_000, 100_000
 
 
 def _row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*(col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)))
 
 
-def salted_lookup(
-    big: DataFrame, lookup: DataFrame, on: Names, how: str = "left", salts: int = SALTS
-) -> DataFrame:
-    """Join ``big`` to a much smaller lookup table, when keys of ``big`` may be hot.
-
-    The rows of a key are spread over ``salts`` join tasks by a hash of the row; the lookup rows
-    are repeated once per salt, so the lookup grows by a fixed factor and no pair is lost.
-    """
+def salt_table(big: DataFrame, on: Names, task_rows: int = TASK_ROWS) -> DataFrame:
+    """The hot keys of ``big`` and the tasks their rows need: ``on, __salts``. Keys with a null match nothing and are left out."""
     names = as_names(on)
-    spread = F.pmod(_row_hash(big), F.lit(salts)).cast("int")
-    repeated = lookup.withColumn("__salt", F.explode(F.array(*(F.lit(i) for i in range(salts)))))
-    return big.withColumn("__salt", spread).join(repeated, [*names, "__salt"], how).drop("__salt")
-
-
-def hot_keys(df: DataFrame, on: Names, heavy: int, most: int) -> list[tuple]:
-    """The keys with more than ``heavy`` rows, at most ``most`` of them, the largest first."""
-    names = as_names(on)
-    counts = df.groupBy(*(col(n) for n in names)).agg(F.count(F.lit(1)).alias("__rows"))
-    top = counts.where(F.col("__rows") > heavy).orderBy(F.col("__rows").desc(), *names).limit(most)
-    return [tuple(row) for row in top.drop("__rows").collect()]
+    counts = big.dropna("any", subset=names).groupBy(*(col(n) for n in names)).agg(F.count(F.lit(1)).alias("__rows"))
+    everything = big.agg(F.count(F.lit(1))).scalar()
+    hot = counts.where(F.col("__rows") > F.greatest(F.lit(task_rows), everything / HOT_PARTS))
+    return hot.select(*(col(n) for n in names), F.ceil(F.col("__rows") / task_rows).cast("int").alias("__salts"))
 
 
 def skew_join(
-    big: DataFrame,
-    lookup: DataFrame,
-    on: Names,
-    how: str = "left",
-    heavy: int = 1_000_000,
-    most: int = 1000,
-    salts: int = 256,
+    big: DataFrame, lookup: DataFrame, on: Names, how: str = "left", task_rows: int = TASK_ROWS
 ) -> DataFrame:
-    """Join ``big`` to a lookup table of any size, when a few keys of ``big`` may be hot.
+    """Join ``big`` to a lookup table of any size, when keys of ``big`` may be hot. ``how`` is left or inner.
 
-    The keys of ``big`` are counted first; that is one aggregation over the key columns. Without a
-    hot key this is a plain join. Otherwise the rows of the hot keys, at most ``most`` keys, are
-    spread over ``salts`` tasks and only their lookup rows are repeated. A key that is left out of
-    the list has less than one in ``most`` rows.
+    The rows of ``big`` are counted per key: one aggregation over the key columns, summed up before the shuffle. The
+    rows of a hot key are spread over as many tasks as they need, and only its lookup rows are repeated. Rows without a
+    key can't match: an inner join leaves them out, a left join spreads them.
     """
     names = as_names(on)
-    keys = hot_keys(big, names, heavy, most)
-    if not keys:
-        return big.join(lookup, names, how)
-    schema = T.StructType([*(big.schema[n] for n in names), T.StructField("__hot", T.BooleanType())])
-    hot = F.broadcast(big.sparkSession.createDataFrame([(*k, True) for k in keys], schema))
-    lanes = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    lane = F.when(F.col("__hot"), F.pmod(F.col("__hash"), F.lit(salts)).cast("int")).otherwise(F.lit(0))
+    hot = F.broadcast(salt_table(big, names, task_rows))
+    salts = F.coalesce(F.col("__salts"), F.lit(1))
+    if how == "inner":
+        big, loose = big.dropna("any", subset=names), F.lit(False)
+    else:
+        loose = reduce(or_, [col(n).isNull() for n in names])
     spread = (
         big.withColumn("__hash", _row_hash(big)).join(hot, names, "left")
-        .withColumn("__salt", lane).drop("__hot", "__hash")
+        .withColumn("__salt", F.pmod(F.col("__hash"), F.when(loose, F.lit(SPREAD)).otherwise(salts)).cast("int"))
+        .drop("__salts", "__hash")
     )
-    repeated = lookup.join(hot, names, "left").withColumn("__salt", F.explode(lanes)).drop("__hot")
+    repeated = lookup.join(hot, names, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("__salts")
     return spread.join(repeated, [*names, "__salt"], how).drop("__salt")
 
 

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelens.functions.nulls import col
-from pricelens.functions.text import one_line, snapshot_label, unique_id
+from pricelens.functions.text import has_server_text, one_line, server_text, snapshot_label, unique_id
 from pricelens.operators.reshape import price_change
 from pricelens.plans.prepare import NO_COLOUR
+from pricelens.plans.sales import EXCLUDED_SUPPLIER
 from pricelens.sources.delimited import read_semicolon
-from pricelens.sources.files import with_origin
+from pricelens.sources.files import chosen, list_files, with_origin
 
 # The article columns of the tracker file.
 TRACKER_COLUMNS = (
@@ -21,10 +22,25 @@ TRACKER_COLUMNS = (
 )
 
 
-def read_archive(spark: SparkSession, path: str, columns: Iterable[str] | None = None) -> DataFrame:
-    """All snapshots of all competitors below ``<path>/<date>/<company>-….csv`` in one scan."""
+def read_archive(
+    spark: SparkSession,
+    path: str,
+    columns: Iterable[str] | None = None,
+    dates: Iterable[str] | None = None,
+    companies: Iterable[str] | None = None,
+) -> DataFrame:
+    """Snapshots of competitors below ``<path>/<date>/<company>-….csv`` in one scan.
+
+    Date and competitor stand in the path, so ``dates`` and ``companies`` choose files before anything is read.
+    """
+    files = list_files(spark, path, ".csv")
+    origin = with_origin(files, F.col("path"))
+    if dates is not None:
+        origin = origin.where(F.col("Snapshotdate").isin([F.lit(d).cast("date") for d in dates]))
+    if companies is not None:
+        origin = origin.where(F.col("Company").isin(list(companies)))
     names = list(columns) if columns is not None else None
-    return with_origin(read_semicolon(spark, f"{path}/*/*.csv", names))
+    return with_origin(read_semicolon(spark, chosen(origin), names))
 
 
 def price_tracker(archive: DataFrame, companies: Iterable[str]) -> DataFrame:
@@ -69,18 +85,21 @@ def change_report(
     )
 
 
-def article_conditions(master: DataFrame, conditions: DataFrame, sales: DataFrame) -> DataFrame:
+def article_conditions(
+    master: DataFrame, conditions: DataFrame, sales: DataFrame, excluded_supplier: str = EXCLUDED_SUPPLIER
+) -> DataFrame:
     """Article master with the highest price conditions per article and the year's sales.
 
     ``master``: ``Artikel, SGVSB, Lieferant``; ``conditions``: ``Artikel`` and price columns;
-    ``sales``: ``iditemOrigin, Sales``. Sales ids match whatever their case and accents.
+    ``sales``: ``iditemOrigin, Sales``. Articles without a unique id, without a supplier or of the
+    excluded supplier are left out. Ids match whatever their case, accents and trailing blanks.
     """
+    master = master.where(has_server_text("SGVSB") & (server_text("Lieferant") != excluded_supplier))
     prices = [c for c in conditions.columns if c != "Artikel"]
     highest = conditions.groupBy("Artikel").agg(*(F.max(col(p)).alias(p) for p in prices))
     turnover = sales.groupBy("iditemOrigin").agg(F.sum("Sales").alias("Umsatz"))
-    same = F.collate("Artikel", "UNICODE_CI_AI") == F.collate("iditemOrigin", "UNICODE_CI_AI")
     return (
         master.join(highest, "Artikel", "left")
-        .join(turnover, same, "left")
+        .join(turnover, server_text("Artikel") == server_text("iditemOrigin"), "left")
         .drop("iditemOrigin")
     )

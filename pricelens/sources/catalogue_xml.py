@@ -1,99 +1,117 @@
-"""Catalogue XML: articles and the category register, with explicit schemas."""
+"""Catalogue XML: articles and the category register, read record by record.
+
+A file is scanned as text whose lines end with the closing tag of a record, so a large file is many tasks. A record is
+parsed once into its elements in document order, each with the position of its last descendant; what lies at any depth
+below an element is then a filter over positions, and the rules of the catalogue are column expressions.
+"""
 
 from __future__ import annotations
 
-from functools import reduce
+import sys
+from collections.abc import Iterator
+from xml.etree import ElementTree
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-REGISTER_DEPTH = 10
+# the functions that run in the tasks travel with their job, so the executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+ARTICLE, REGISTER = "Artikel", "Register_Element_1"
+#: Levels of a category table unless it is asked for more.
+REGISTER_DEPTH = 10
 TEXTS = "array<string>"
-COLOUR_PRICES = f"array<struct<AF: array<struct<AF_Nr: {TEXTS}, AF_Txt: {TEXTS}, Preis_Pos: {TEXTS}, EAN: {TEXTS}>>>>"
-VARIANT = "array<struct<_VALUE: string, _Preis: string, _EAN: string, _Txt: string>>"
-VARIANT_PRICES = f"array<struct<AFZ: array<struct<AF_Nr: {TEXTS}, AF_Txt: {TEXTS}, AFZ_Nr: {VARIANT}>>>>"
-
-# The colour prices may stand in the article or inside its price element.
-ARTICLE_SCHEMA = ", ".join(
-    [
-        "_Art_Nr_Anbieter string",
-        f"Art_Nr_Hersteller {TEXTS}",
-        "Art_Nr_Hersteller_Firma array<struct<_Firma: string, _VALUE: string>>",
-        f"Art_Nr_EAN {TEXTS}",
-        f"Art_Nr_Nachfolge {TEXTS}",
-        "Art_Nr_Synonym array<struct<_Firma: string, _VALUE: string>>",
-        f"Art_Nr_Synonym_Firma {TEXTS}",
-        f"Art_Valid_Von {TEXTS}",
-        f"Art_Valid_Bis {TEXTS}",
-        f"Art_Txt_Kurz {TEXTS}",
-        f"Art_Txt_Lang {TEXTS}",
-        f"Art_Menge {TEXTS}",
-        f"BM_Einheit array<struct<BM_Einheit_Code: {TEXTS}>>",
-        f"Preis array<struct<Preis_Pos: {TEXTS}, Preis_EAN: {TEXTS}, "
-        f"Preis_AF: {COLOUR_PRICES}, Preis_AF_Zusatz: {VARIANT_PRICES}>>",
-        f"Preis_AF {COLOUR_PRICES}",
-        f"Preis_AF_Zusatz {VARIANT_PRICES}",
-    ]
-)
+ELEMENTS = "array<struct<pos: int, last: int, name: string, text: string, attributes: map<string, string>>>"
+LISTINGS = "array<struct<kind: int, pos: int, path: array<string>, article: string>>"
+#: Kinds of listings: ``Element0_Nr`` to ``Element9_Nr``.
+LISTING = {f"Element{n}_Nr": n for n in range(10)}
+
 
+def read_records(spark: SparkSession, paths: str | list[str], tag: str, encoding: str = "utf-8") -> DataFrame:
+    """``file, block, position, xml``: one row per element ``tag`` that has a closing tag (``<tag/>`` is empty and left out).
 
-def read_articles(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """One row per article element, with its file and its position in the scan."""
-    return (
-        spark.read.format("xml")
-        .options(rowTag="Artikel", attributePrefix="_", valueTag="_VALUE")
-        .schema(ARTICLE_SCHEMA)
-        .load(paths)
-        .select("*", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("position"))
+    ``block`` and ``position`` order the records of a file: the place where the split begins, and the place in the scan.
+    Records of one name must not contain each other.
+    """
+    lines = spark.read.option("lineSep", f"</{tag}>").text(paths).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("position"), F.decode(F.col("value").cast("binary"), encoding).alias("value"),
     )
+    start = F.regexp_extract("value", f"(?s)^.*(<{tag}(?=[\\s>])(?![^>]*/>).*)$", 1)
+    return lines.withColumn("xml", F.when(start != "", F.concat(start, F.lit(f"</{tag}>")))).where("xml IS NOT NULL").drop("value")
+
+
+def elements_of(xml: str) -> list[dict] | None:
+    """The elements of a record in document order, the record itself first; None if it is not well-formed."""
+    try:
+        found = list(ElementTree.fromstring(xml).iter())
+    except ElementTree.ParseError:
+        return None
+    number = {element: i for i, element in enumerate(found)}
+    last = list(range(len(found)))
+    for i in reversed(range(len(found))):
+        for child in found[i]:
+            last[i] = max(last[i], last[number[child]])
+    return [
+        {"pos": i, "last": last[i], "name": e.tag, "text": e.text, "attributes": list(e.attrib.items())} for i, e in enumerate(found)
+    ]
 
 
-def id_fields() -> list[T.StructField]:
-    return [T.StructField(f"Element{n}_Nr", T.ArrayType(T.StringType())) for n in range(10)]
+def listings_of(xml: str) -> list[dict] | None:
+    """The articles that a register element lists, with the texts of the elements above; None if it is not well-formed."""
+    out: list[dict] = []
+    try:
+        todo = [(ElementTree.fromstring(xml), [])]
+    except ElementTree.ParseError:
+        return None
+    pos = 0
+    while todo:  # in document order, at any depth
+        element, above = todo.pop()
+        if element.tag in LISTING and element.text is not None:
+            out.append({"kind": LISTING[element.tag], "pos": pos, "path": above, "article": element.text})
+        here = [*above, element.attrib["Txt"]] if "Txt" in element.attrib else above
+        todo.extend((child, here) for child in reversed(element))
+        pos += 1
+    return out
 
 
-def register_schema(level: int = 1, depth: int = REGISTER_DEPTH) -> T.StructType:
-    """A register element: its text, article numbers, and the elements one level below."""
-    fields = [T.StructField("_Txt", T.StringType()), *id_fields()]
-    if level < depth:
-        below = T.ArrayType(register_schema(level + 1, depth))
-        fields.append(T.StructField(f"Register_Element_{level + 1}", below))
-    return T.StructType(fields)
+def _parsed(records: DataFrame, parse, name: str, kind: str, arrow: pa.DataType) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = pa.array([parse(xml) for xml in batch.column("xml").to_pylist()], arrow)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("file", "block", "position")), values], names=["file", "block", "position", name])
 
+    return records.mapInArrow(run, f"file string, block bigint, position bigint, {name} {kind}")
 
-def read_register(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    return (
-        spark.read.format("xml")
-        .options(rowTag="Register_Element_1", attributePrefix="_", valueTag="_VALUE")
-        .schema(register_schema())
-        .load(paths)
-        .select("*", F.col("_metadata.file_path").alias("file"))
-    )
 
+_ELEMENTS = pa.list_(pa.struct([("pos", pa.int32()), ("last", pa.int32()), ("name", pa.string()), ("text", pa.string()), ("attributes", pa.map_(pa.string(), pa.string()))]))
+_LISTINGS = pa.list_(pa.struct([("kind", pa.int32()), ("pos", pa.int32()), ("path", pa.list_(pa.string())), ("article", pa.string())]))
 
-def register_entries(node: Column, path: Column, level: int, depth: int = REGISTER_DEPTH) -> Column:
-    """All ``(kind, path, article)`` entries below a register element, as one array: one pass over
-    the tree instead of one scan per level."""
-    none = F.array().cast("array<struct<kind: int, path: array<string>, article: string>>")
-    here = F.concat(path, F.array(node["_Txt"]))
-    own = [
-        F.coalesce(
-            F.transform(
-                node[f"Element{n}_Nr"],
-                lambda x, n=n: F.struct(F.lit(n).alias("kind"), here.alias("path"), x.alias("article")),
-            ),
-            none,
-        )
-        for n in range(10)
-    ]
-    if level == depth:
-        return F.concat(*own)
-    below = F.transform(
-        node[f"Register_Element_{level + 1}"], lambda c: register_entries(c, here, level + 1, depth)
-    )
-    return F.concat(*own, F.coalesce(F.flatten(below), none))
+
+def read_articles(spark: SparkSession, paths: str | list[str], encoding: str = "utf-8") -> DataFrame:
+    """``file, block, position, elements``: one row per article; ``elements`` is null if the article is not well-formed."""
+    return _parsed(read_records(spark, paths, ARTICLE, encoding), elements_of, "elements", ELEMENTS, _ELEMENTS)
+
+
+def read_register(spark: SparkSession, paths: str | list[str], encoding: str = "utf-8") -> DataFrame:
+    """``file, block, position, listings``: one row per top register element, with its listings at any depth."""
+    return _parsed(read_records(spark, paths, REGISTER, encoding), listings_of, "listings", LISTINGS, _LISTINGS)
+
+
+def broken_records(records: DataFrame) -> DataFrame:
+    """Records of ``read_articles`` or ``read_register`` that are not well-formed XML; they give no rows."""
+    return records.where(F.col(records.columns[-1]).isNull()).select("file", "block", "position")
+
+
+def below(name: str, element: Column | None = None) -> Column:
+    """The elements called ``name`` at any depth below an element, by default below the record."""
+    def wanted(e: Column) -> Column:
+        inside = e["pos"] > 0 if element is None else (e["pos"] > element["pos"]) & (e["pos"] <= element["last"])
+        return (e["name"] == name) & inside
+
+    return F.filter("elements", wanted)
 
 
 def joined(texts: Column) -> Column:
@@ -102,17 +120,16 @@ def joined(texts: Column) -> Column:
     return F.when(F.size(present) > 0, F.array_join(present, " "))
 
 
-def field_of(elements: Column, name: str) -> Column:
-    return F.transform(elements, lambda e: e[name])
+def texts_below(name: str, element: Column | None = None) -> Column:
+    """The texts of the elements called ``name`` at any depth, as one text."""
+    return joined(F.transform(below(name, element), lambda e: e["text"]))
 
 
-def all_or_none(texts: Column) -> Column:
-    """Attribute values as one text; null if an element lacks the attribute."""
-    return F.when(F.forall(texts, lambda x: x.isNotNull()), joined(texts))
+def attribute_below(name: str, attribute: str) -> Column:
+    """An attribute of the elements called ``name``, as one text; null if one of them lacks it."""
+    values = F.transform(below(name), lambda e: e["attributes"][attribute])
+    return F.when(F.forall(values, lambda x: x.isNotNull()), joined(values))
 
 
-def nested(outer: str, inner: str) -> Column:
-    """Elements ``inner`` directly in the article and inside its ``outer`` elements."""
-    inside = F.flatten(F.filter(field_of(F.col(outer), inner), lambda x: x.isNotNull()))
-    lists = [F.coalesce(c, F.array().cast(COLOUR_PRICES if inner == "Preis_AF" else VARIANT_PRICES)) for c in (F.col(inner), inside)]
-    return reduce(F.concat, lists)
+def record_attribute(attribute: str) -> Column:
+    return F.get("elements", F.lit(0))["attributes"][attribute]

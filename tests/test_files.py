@@ -1,17 +1,18 @@
 import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from pricelens.functions.nulls import as_number
-from pricelens.plans.catalogue import article_rows, articles_from_xml, reference_from_fixed_width, shape_conflicts
+from pricelens.plans.catalogue import article_rows, articles_from_xml, category_paths, deeper_paths, reference_from_fixed_width, shape_conflicts
 from pricelens.plans.track import article_conditions, change_report, price_tracker, read_archive
 from pricelens.session import materialise, shared_dir
 from pricelens.settings import load_settings
 from pricelens.sinks.writers import write_analysis, write_archive, write_by_origin, write_semicolon, write_tabs
-from pricelens.sources.catalogue_xml import read_articles
+from pricelens.sources.catalogue_xml import broken_records, read_articles, read_register
 from pricelens.sources.database import query_text, run_query_file
 from pricelens.sources.delimited import read_semicolon, read_tabs
-from pricelens.sources.files import list_files, name_matches, newest_snapshot, not_named
+from pricelens.sources.files import chosen, list_files, name_matches, newest_file, newest_folder, newest_per_folder, newest_snapshot, not_named
 from pricelens.sources.fixed_width import LAYOUTS, Layout, read_fixed_width
 from pricelens.sources.links import page_links
 
@@ -64,6 +65,57 @@ def test_all_register_levels_are_kept(spark, rows, tmp_path):
     path.write_text(f"<K>{opened}<Element7_Nr>A</Element7_Nr>{closed}<Artikel Art_Nr_Anbieter=\"A\"><Preis><Preis_Pos>1</Preis_Pos></Preis></Artikel></K>", encoding="utf-8")
     levels = [f"Category_Level_{i}" for i in range(1, 11)]
     assert rows(articles_from_xml(spark, str(path)), *levels) == [("L1", "L2", "L3", "L4", "L5", "L6", "L7", "L7", "L7", "L7")]
+    paths = category_paths(read_register(spark, str(path)))
+    assert rows(deeper_paths(paths, 5), "ArtikelId") == [("A",)] and deeper_paths(paths).count() == 0
+    with pytest.raises(Exception, match="more category levels than asked for: A"):
+        articles_from_xml(spark, str(path), levels=5).collect()
+
+
+def test_last_listing_in_the_document_wins(spark, rows, tmp_path):
+    path = tmp_path / "branches.xml"
+    path.write_text(
+        """<K><Register_Element_1 Txt="Z"><Element2_Nr>A</Element2_Nr><Element1_Nr>A</Element1_Nr>
+  <Register_Element_2 Txt="Y"><Element1_Nr>A</Element1_Nr><Element1_Nr>B</Element1_Nr></Register_Element_2>
+  <Register_Element_2 Txt="X"><Element1_Nr>B</Element1_Nr><Gruppe><Element0_Nr>C</Element0_Nr></Gruppe></Register_Element_2></Register_Element_1>
+ <Register_Element_1 Txt="M"><Element0_Nr>C</Element0_Nr></Register_Element_1></K>""",
+        encoding="utf-8",
+    )
+    paths = category_paths(read_register(spark, str(path)))
+    # A: the highest kind of its branch; B: the last of equal kinds; C: the later branch, whatever the kind
+    assert rows(paths.select("ArtikelId", F.array_join("path", "/"))) == [("A", "Z"), ("B", "Z/X"), ("C", "M")]
+
+
+def test_elements_count_at_any_depth(spark, rows, tmp_path):
+    path = tmp_path / "deep.xml"
+    path.write_text(
+        """<K><Artikel Art_Nr_Anbieter="P"><Texte><Art_Txt_Kurz>a &amp; b</Art_Txt_Kurz><x><Art_Txt_Kurz>c</Art_Txt_Kurz></x></Texte>
+  <Angebot><Preis><Stufe><Preis_Pos>1.5</Preis_Pos></Stufe><Preis_EAN>7</Preis_EAN></Preis></Angebot></Artikel>
+ <Artikel Art_Nr_Anbieter="C"><Preis><Liste><Preis_AF><Farben><AF><Nr><AF_Nr>01</AF_Nr></Nr><AF_Txt>rot</AF_Txt><P><Preis_Pos>2</Preis_Pos></P></AF></Farben></Preis_AF></Liste></Preis></Artikel>
+ <Artikel Art_Nr_Anbieter="V"><L><Preis_AF_Zusatz><AFZ><A><AF_Nr>02</AF_Nr></A><N><AFZ_Nr Preis="3" Txt="links">L</AFZ_Nr></N></AFZ></Preis_AF_Zusatz></L></Artikel>
+ <Artikel Art_Nr_Anbieter="kaputt"><Preis></Artikel>
+ <Artikel Art_Nr_Anbieter="leer"/></K>""",
+        encoding="utf-8",
+    )
+    articles = read_articles(spark, str(path))
+    assert rows(article_rows(articles), "ArtikelId", "FarbId", "AusführungsId", "Preis_Pos", "Preis_EAN", "Art_Txt_Kurz", "AF_Txt", "AFZ_Txt") == [
+        ("C", "01", None, 2.0, None, None, "rot", None), ("P", None, None, 1.5, "7", "a & b c", None, None), ("V", "02", "L", 3.0, None, None, None, "links"),
+    ]
+    assert broken_records(articles).count() == 1
+
+
+@pytest.mark.parametrize("encoding", ["utf-8", "iso-8859-1"])
+def test_one_file_is_many_tasks(spark, rows, tmp_path, encoding):
+    path = tmp_path / "large.xml"
+    records = [f'<Artikel Art_Nr_Anbieter="{i % 900}"><Art_Txt_Kurz>Tür {i}</Art_Txt_Kurz><Preis><Preis_Pos>{i}</Preis_Pos></Preis></Artikel>' for i in range(1000)]
+    path.write_bytes(("<K>" + "\n".join(records) + "</K>").encode(encoding))
+    expected = sorted((str(i % 900), float(max(i, (i + 900) if i < 100 else i)), f"Tür {max(i, (i + 900) if i < 100 else i)}") for i in range(900))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7001")
+    try:
+        articles = read_articles(spark, str(path), encoding)
+        assert articles.select(F.spark_partition_id()).distinct().count() > 4
+        assert rows(article_rows(articles), "ArtikelId", "Preis_Pos", "Art_Txt_Kurz") == expected
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
 def test_articles_with_both_price_shapes_are_reported(spark, rows, tmp_path):
@@ -98,7 +150,13 @@ def archive_files(tmp_path):
 
 
 def test_tracker_over_the_archive(spark, rows, tmp_path):
-    archive = read_archive(spark, archive_files(tmp_path))
+    path = archive_files(tmp_path)
+    archive = read_archive(spark, path)
+    some = read_archive(spark, path, dates=["2018-01-15"], companies=["Sabag"])
+    assert [f.rsplit("/", 2)[1:] for f in some.inputFiles()] == [["2018-01-15", "Sabag-1.csv"]]  # only chosen files are in the plan
+    assert rows(some, "Company", "Preis") == [("Sabag", "12")]
+    with pytest.raises(ValueError):
+        read_archive(spark, path, dates=["1990-01-01"])
     tracked = price_tracker(archive, ["Sabag", "Saneo", "Missing"])
     assert rows(tracked, "Company", "Snapshotdate_String", "Preis", "Art_Txt_Lang") == [
         ("Sabag", "Snapshotdate (2017-11-27)", 10.0, "zwei Zeilen"), ("Sabag", "Snapshotdate (2018-01-15)", 12.0, "zwei Zeilen"), ("Saneo", "Snapshotdate (2017-11-27)", 10.0, "zwei Zeilen"),
@@ -112,17 +170,28 @@ def test_tracker_over_the_archive(spark, rows, tmp_path):
 
 
 def test_article_conditions(spark, rows):
-    master = spark.createDataFrame([("Ä1", "u1"), ("b", "u2")], "Artikel string, SGVSB string")
+    articles = [("Ä1", "u1", "x"), ("b ", "u2", "x"), ("c", "  ", "x"), ("d", None, "x"), ("e", "u5", "00008537 "), ("f", "u6", None)]
+    master = spark.createDataFrame(articles, "Artikel string, SGVSB string, Lieferant string")
     conditions = spark.createDataFrame([("Ä1", 3.0), ("Ä1", 5.0)], "Artikel string, Bruttoverkauf double")
-    sales = spark.createDataFrame([("a1", 2.0), ("A1", 4.0)], "iditemOrigin string, Sales double")
+    sales = spark.createDataFrame([("a1  ", 2.0), ("A1  ", 4.0), ("B", 1.0)], "iditemOrigin string, Sales double")
     joined = article_conditions(master, conditions, sales.withColumn("iditemOrigin", F.lower("iditemOrigin")))
-    assert rows(joined, "Artikel", "Bruttoverkauf", "Umsatz") == [("b", None, None), ("Ä1", 5.0, 6.0)]
+    assert rows(joined, "Artikel", "Bruttoverkauf", "Umsatz") == [("b ", None, 1.0), ("Ä1", 5.0, 6.0)]
 
 
 def test_delimited_files(spark, rows, tmp_path):
     frame = spark.createDataFrame([("1", 'a;"b"\nc', None), ("2", "NA", "x")], "id string, t string, u string")
     write_semicolon(frame, str(tmp_path / "s"))
     assert rows(read_semicolon(spark, str(tmp_path / "s"), frame.columns)) == rows(frame)
+    numbers = spark.createDataFrame(
+        [("a", 'x;"y"\nz', 1.0, 3, True, datetime.date(2018, 1, 2)), ("b", None, 12345678.9, None, False, None), ("", "", 0.00012, -7, None, None), ("c", "é", 1.5e-5, 0, None, None), ("d", "e", 1e16, 1, None, None), ("f", "g", None, 2, None, None)],
+        'id string, `t"x` string, p double, n long, b boolean, d date',
+    )
+    write_semicolon(numbers.coalesce(1), str(tmp_path / "q"))
+    written = next((tmp_path / "q").glob("part-*")).read_bytes().decode()
+    assert written == (
+        '"id";"t""x";"p";"n";"b";"d"\n"a";"x;""y""\nz";1.0;3;True;"2018-01-02"\n"b";"";12345678.9;"";False;""\n'
+        '"";"";0.00012;-7;"";""\n"c";"é";1.5e-05;0;"";""\n"d";"e";1e+16;1;"";""\n"f";"g";"";2;"";""\n'
+    )
     flat = frame.withColumn("t", F.regexp_replace("t", "\n", " "))
     write_tabs(flat, str(tmp_path / "t"))
     assert rows(read_tabs(spark, str(tmp_path / "t"))) == rows(flat)
@@ -157,6 +226,22 @@ def test_file_listing_and_choice(spark, rows, tmp_path):
     assert files.where(not_named("Badmoebel", F.col("path"))).count() == 2
 
 
+def test_newest_files_are_chosen_before_reading(spark, rows, tmp_path):
+    for name in ("XML/Sabag/2017-12.csv", "XML/Sabag/2018-01.csv", "XML/Saneo/2017-[11].csv", "XML/Saneo/2016.csv", "XML/Saneo/z.txt"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(f"a\n{name}\n")
+    for name in ("2018 Lauf 1 CRH/x/KOMPRS.DAT", "2018 Lauf 2 CRH/KOMPRS.DAT", "2018 Lauf 2 CRH/y/KOMART0.DAT", "zuletzt/KOMPRS.DAT"):
+        (tmp_path / "Stamm" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "Stamm" / name).write_text("x\n")
+    newest = newest_per_folder(list_files(spark, str(tmp_path / "XML"), ".csv"))
+    table = spark.read.csv(chosen(newest), header=True)
+    assert rows(table) == [("XML/Sabag/2018-01.csv",), ("XML/Saneo/2017-[11].csv",)] and len(table.inputFiles()) == 2
+    assert rows(newest_file(list_files(spark, str(tmp_path / "XML"), ".csv")), "name") == [("2018-01.csv",)]
+    runs = list_files(spark, str(tmp_path / "Stamm"), ".DAT")
+    assert rows(newest_folder(runs, str(tmp_path / "Stamm"), ".*Lauf.*CRH"), "name") == [("KOMART0.DAT",), ("KOMPRS.DAT",)]
+    assert newest_folder(runs, str(tmp_path / "Stamm"), "nichts").count() == 0
+
+
 def test_output_per_origin(spark, tmp_path):
     write_by_origin(spark.createDataFrame([("A-1", 1), ("B-2", 2)], "base_name string, v int"), str(tmp_path / "o"))
     assert sorted(p.name for p in (tmp_path / "o").iterdir() if p.is_dir()) == ["base_name=A-1", "base_name=B-2"]

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from pricelens.functions.nulls import null_if_far, null_where_far
 from pricelens.operators.cascade import best_offers, chained_cascade, match_rates, single_join_cascade, with_empty_offer
-from pricelens.operators.joins import aligned_update, fill_missing_join, left_join_present, salted_lookup, skew_join
+from pricelens.operators.joins import aligned_update, fill_missing_join, left_join_present, salt_table, skew_join
 from pricelens.operators.nearest_value import nearest_value
 from pricelens.operators.ranking import keep_best, last_write_wins, price_difference, rank_candidates
 from pricelens.plans.match import match_catalogues
@@ -59,12 +59,29 @@ def test_dead_rows_do_not_meet_in_one_task(spark):
     assert len(sizes) == 4 and max(r["count"] for r in sizes) < 2000
 
 
-@pytest.mark.parametrize("join", [lambda *a: skew_join(*a, heavy=10, salts=7), salted_lookup])
+@pytest.mark.parametrize("task_rows", [10, 1000])
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_hot_key_joins_keep_every_row(spark, rows, join, how):
+def test_hot_key_joins_keep_every_row(spark, rows, task_rows, how):
     big = spark.range(300).select("id", F.when(F.col("id") < 200, "hot").when(F.col("id") < 290, F.concat(F.lit("k"), "id")).alias("k"))
     lookup = spark.createDataFrame([("hot", 1), ("k210", 2), ("none", 3)], "k string, v int")
-    assert rows(join(big, lookup, "k", how)) == rows(big.join(lookup, "k", how))
+    assert rows(skew_join(big, lookup, "k", how, task_rows)) == rows(big.join(lookup, "k", how))
+    lookup = lookup.unionByName(spark.createDataFrame([("hot", 3), (None, 4)], "k string, v int"))
+    assert rows(skew_join(big, lookup, "k", how, task_rows)) == rows(big.join(lookup, "k", how))
+
+
+def test_salts_follow_the_rows_of_a_key(spark, rows):
+    key = F.when(F.col("id") < 200, "hot").when(F.col("id") < 215, "warm").when(F.col("id") < 225, "cool")
+    big = spark.range(1000).select("id", key.alias("k"), F.lit(1).alias("one"))
+    assert rows(salt_table(big, ["k", "one"], 10)) == [("hot", 1, 20), ("warm", 1, 2)]  # 775 rows without a key take no place
+    joined = skew_join(big, spark.createDataFrame([("hot", 1)], "k string, v int"), "k", "left", 10)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) == 4 and max(r["count"] for r in sizes) < 500
 
 
 def random_catalogues(spark, seed=7):

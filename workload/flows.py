@@ -10,13 +10,13 @@ from pricelens.plans.analyse import analysis_base, analysis_table, derive_measur
 from pricelens.plans.catalogue import article_rows, articles_from_xml, category_levels, category_paths, reference_from_fixed_width
 from pricelens.plans.match import match_catalogues
 from pricelens.plans.sales import SalesRules, article_master, combined_sales, sales_measures
-from pricelens.plans.track import change_report, price_tracker
+from pricelens.plans.track import change_report, price_tracker, read_archive
 from pricelens.session import materialise, scratch_path
-from pricelens.sinks.writers import write_analysis, write_archive, write_by_origin, write_semicolon, write_tabs
-from pricelens.sources.catalogue_xml import read_articles, read_register
+from pricelens.sinks.writers import delimited_text, write_analysis, write_archive, write_by_origin, write_semicolon, write_tabs
+from pricelens.sources.catalogue_xml import attribute_below, read_articles, read_register, record_attribute
 from pricelens.sources.database import run_query_file
 from pricelens.sources.delimited import read_semicolon, read_tabs
-from pricelens.sources.files import list_files, name_matches, newest_snapshot
+from pricelens.sources.files import chosen, list_files, name_matches, newest_folder, newest_per_folder, newest_snapshot, with_origin
 from pricelens.sources.fixed_width import LAYOUTS, read_fixed_width
 from pricelens.sources.links import page_links
 from workload import roles as R
@@ -33,25 +33,33 @@ def _catalogue_xml(spark, sf):
     raw = R.main_raw(spark, sf)
     colour = [F.col("FarbId").alias("AF_Nr"), "AF_Txt"]
     has_colour, has_variant = F.col("FarbId").isNotNull(), F.col("AusführungsId").isNotNull()
+    deep = F.col("ArtikelId").cast("long") % 3 == 0  # prices and texts of some articles lie a level deeper
+    none = F.lit(None).cast("string")
     plain = F.struct("Preis_Pos", "Preis_EAN")
     per_colour = F.struct(F.struct(*colour, "Preis_Pos", F.col("Preis_EAN").alias("EAN")).alias("AF"))
     variant = F.struct(
         F.col("AusführungsId").alias("_VALUE"), F.col("Preis_Pos").alias("_Preis"), F.col("Preis_EAN").alias("_EAN"), F.col("AFZ_Txt").alias("_Txt")
     )
     per_variant = F.struct(F.struct(*colour, variant.alias("AFZ_Nr")).alias("AFZ"))
-    none = F.lit(None).cast("string")
     price = F.struct(
-        F.when(~has_colour, plain["Preis_Pos"]).otherwise(none).alias("Preis_Pos"),
+        F.when(~has_colour & ~deep, plain["Preis_Pos"]).otherwise(none).alias("Preis_Pos"),
+        F.when(~has_colour & deep, F.struct("Preis_Pos")).alias("Angabe"),
         F.when(~has_colour, plain["Preis_EAN"]).otherwise(none).alias("Preis_EAN"),
         F.when(has_colour & has_variant, per_variant).alias("Preis_AF_Zusatz"),
     )
     firm = F.struct(F.lit("x").alias("_VALUE"), F.col("Art_Nr_Hersteller_Firma").alias("_Firma"))
     article = F.struct(
-        F.col("ArtikelId").alias("_Art_Nr_Anbieter"), "Art_Nr_Hersteller", firm.alias("Art_Nr_Hersteller_Firma"), "Art_Txt_Kurz", "Art_Txt_Lang",
+        F.col("ArtikelId").alias("_Art_Nr_Anbieter"), "Art_Nr_Hersteller", firm.alias("Art_Nr_Hersteller_Firma"),
+        F.when(~deep, F.col("Art_Txt_Kurz")).alias("Art_Txt_Kurz"), F.when(deep, F.struct("Art_Txt_Kurz")).alias("Texte"), "Art_Txt_Lang",
         price.alias("Preis"), F.when(has_colour & ~has_variant, per_colour).alias("Preis_AF"),
     )
     below = F.struct(F.col("Category_Level_2").alias("_Txt"), F.col("ArtikelId").alias("Element2_Nr"))
-    register = F.struct(F.col("Category_Level_1").alias("_Txt"), below.alias("Register_Element_2"))
+    listed = F.col("ArtikelId").alias("Element1_Nr")
+    # some articles are listed again: in a lower kind of the same branch, which does not count, or in a later branch, which does
+    twice, later = F.col("ArtikelId").cast("long") % 4 == 0, F.col("ArtikelId").cast("long") % 5 == 0
+    branch = F.struct(F.col("Category_Level_1").alias("_Txt"), F.when(twice, F.col("ArtikelId")).alias("Element1_Nr"), below.alias("Register_Element_2"))
+    nothing = F.lit(None).cast("struct<_Txt: string, Element2_Nr: string>")
+    register = F.filter(F.array(branch, F.when(later, F.struct(F.lit("Aktion").alias("_Txt"), listed, nothing.alias("Register_Element_2")))), lambda r: r.isNotNull())
     path = scratch_path(spark, "catalogue-xml")
     entries = raw.select(register.alias("Register_Element_1"), article.alias("Artikel"))
     entries.write.format("xml").options(rootTag="Katalog", rowTag="Eintrag", attributePrefix="_", valueTag="_VALUE").save(path)
@@ -62,7 +70,8 @@ _XML_ROWS = """SELECT "ArtikelId", "FarbId", CASE WHEN "FarbId" IS NOT NULL THEN
 "Art_Nr_Hersteller", "Art_Nr_Hersteller_Firma", "Art_Txt_Kurz", "Art_Txt_Lang", CASE WHEN "FarbId" IS NOT NULL THEN "AF_Txt" END AS "AF_Txt",
 CASE WHEN "FarbId" IS NOT NULL THEN "AFZ_Txt" END AS "AFZ_Txt" """
 _XML_COLUMNS = ("ArtikelId", "FarbId", "AusführungsId", "Preis_Pos", "Preis_EAN", "Art_Nr_Hersteller", "Art_Nr_Hersteller_Firma", "Art_Txt_Kurz", "Art_Txt_Lang", "AF_Txt", "AFZ_Txt")
-_LEVELS = ', "Category_Level_1", ' + ", ".join(f'"Category_Level_2" AS "Category_Level_{i}"' for i in range(2, 11))
+_LATER = 'CAST("ArtikelId" AS BIGINT) % 5 = 0'
+_LEVELS = "".join(f""", CASE WHEN {_LATER} THEN 'Aktion' ELSE "Category_Level_{min(i, 2)}" END AS "Category_Level_{i}" """ for i in range(1, 11))
 
 
 @query("S1_xml_articles", sql(f"{_XML_ROWS} FROM main_raw", "main_raw"))
@@ -70,14 +79,27 @@ def _(spark, sf):
     return article_rows(read_articles(spark, _catalogue_xml(spark, sf))).select(*_XML_COLUMNS)
 
 
+@query("S1_xml_split", sql(f"{_XML_ROWS} FROM main_raw", "main_raw"))
+def _(spark, sf):
+    """The same from one file, read by more than one task."""
+    path = scratch_path(spark, "one-file")
+    spark.read.text(_catalogue_xml(spark, sf)).coalesce(1).write.text(path)
+    size, before = list_files(spark, path, "").agg(F.max("length")).first()[0], spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(max(1, size // 4)))
+    try:
+        articles = materialise(read_articles(spark, path), "articles")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    return article_rows(articles).select(*_XML_COLUMNS)
+
+
 @query("F23_xml_attributes", sql('SELECT "ArtikelId", "Art_Nr_Hersteller_Firma" FROM main_raw', "main_raw"))
 def _(spark, sf):
     articles = read_articles(spark, _catalogue_xml(spark, sf))
-    firms = F.transform("Art_Nr_Hersteller_Firma", lambda e: e["_Firma"])
-    return articles.select(F.col("_Art_Nr_Anbieter").alias("ArtikelId"), F.array_join(firms, " ").alias("Art_Nr_Hersteller_Firma"))
+    return articles.select(record_attribute("Art_Nr_Anbieter").alias("ArtikelId"), attribute_below("Art_Nr_Hersteller_Firma", "Firma").alias("Art_Nr_Hersteller_Firma"))
 
 
-@query("S2_xml_register", sql('SELECT "ArtikelId", "Category_Level_1" || \'/\' || "Category_Level_2" AS path FROM main_raw', "main_raw"))
+@query("S2_xml_register", sql(f"""SELECT "ArtikelId", CASE WHEN {_LATER} THEN 'Aktion' ELSE "Category_Level_1" || '/' || "Category_Level_2" END AS path FROM main_raw""", "main_raw"))
 def _(spark, sf):
     paths = category_paths(read_register(spark, _catalogue_xml(spark, sf)))
     return paths.select("ArtikelId", F.array_join("path", "/").alias("path"))
@@ -157,28 +179,31 @@ def _company_files(spark, sf):
     """One folder per competitor with its articles."""
     path = scratch_path(spark, "company-files")
     rows = R.competitor_raw(spark, sf).select("Konkurrenz", "ArtikelId", "FarbId", "Preis_Pos")
-    write_by_origin(rows.withColumn("base_name", F.concat("Konkurrenz", F.lit("-1"))), path)
+    write_by_origin(rows.withColumn("base_name", F.concat("Konkurrenz", F.lit("-1.csv"))), path)
     return path
 
 
 @query("S9_list_files", sql("SELECT DISTINCT \"Konkurrenz\" || '-1' AS folder FROM competitor", "competitor"))
 def _(spark, sf):
     files = list_files(spark, _company_files(spark, sf), ".csv")
-    return files.select(F.regexp_extract("path", "base_name=([^/]+)/", 1).alias("folder")).distinct()
+    return files.select(F.regexp_extract("name", "base_name=(.*)[.]csv$", 1).alias("folder")).distinct()
 
 
 @query("S10_files_by_name", sql('SELECT "Konkurrenz", "ArtikelId" FROM competitor_raw WHERE "Konkurrenz" IN (\'EUROPE\', \'MIDDLE_EAST\')', "competitor_raw"))
 def _(spark, sf):
-    path = _company_files(spark, sf)
-    folder = F.element_at(F.split("_metadata.file_path", "/"), -2)
-    rows = spark.read.options(sep=";", header=True, escape='"').schema("Konkurrenz string, ArtikelId string, FarbId string, Preis_Pos string").csv(path)
-    return rows.where(name_matches(["Europe", "Middle"], folder)).select("Konkurrenz", "ArtikelId")
+    files = list_files(spark, _company_files(spark, sf), ".csv").where(name_matches(["Europe", "Middle"], F.col("name")))
+    return read_semicolon(spark, chosen(files), ["Konkurrenz", "ArtikelId", "FarbId", "Preis_Pos"]).select("Konkurrenz", "ArtikelId")
+
+
+_ARCHIVE_COLUMNS = ["ArtikelId", "FarbId", "AusführungsId", "Art_Txt_Lang", "Preis", "Preis_Pos", *(f"Category_Level_{i}" for i in range(1, 5))]
 
 
 def _archive_path(spark, sf):
+    """The archive as ``<date>/<company>-1.csv``, the name being a folder of part files."""
     path = scratch_path(spark, "archive")
-    rows = R.archive(spark, sf).repartition("Snapshotdate", "Company")
-    rows.write.partitionBy("Snapshotdate", "Company").parquet(path)
+    rows = R.archive(spark, sf)
+    named = rows.select("Snapshotdate", F.concat("Company", F.lit("-1.csv")).alias("file"), *_ARCHIVE_COLUMNS)
+    delimited_text(named.repartition("Snapshotdate", "file"), ["Snapshotdate", "file"]).write.partitionBy("Snapshotdate", "file").text(path)
     return path
 
 
@@ -187,10 +212,39 @@ def _(spark, sf):
     return newest_snapshot(R.archive(spark, sf), by="Company").select("Company", "Snapshotdate", "ArtikelId", "Preis")
 
 
+def _dated_files(spark, sf):
+    """The archive as one folder per competitor with a file per date, the date in the name."""
+    path = scratch_path(spark, "dated-files")
+    rows = R.archive(spark, sf).select("Company", "Snapshotdate", "ArtikelId", "Preis")
+    name = F.concat("Company", F.lit("-"), F.col("Snapshotdate").cast("string"), F.lit(".csv"))
+    named = rows.withColumns({"folder": F.col("Company"), "file": name})
+    delimited_text(named.repartition("folder", "file"), ["folder", "file"]).write.partitionBy("folder", "file").text(path)
+    return path, rows.columns
+
+
+@query("S11_newest_file_per_folder", sql('SELECT "Company", "Snapshotdate"::varchar AS "Snapshotdate", "ArtikelId", "Preis" FROM archive QUALIFY "Snapshotdate" = max("Snapshotdate") OVER (PARTITION BY "Company")', "archive"))
+def _(spark, sf):
+    path, columns = _dated_files(spark, sf)
+    rows = read_semicolon(spark, chosen(newest_per_folder(list_files(spark, path, ".csv"))), columns)
+    return rows.withColumn("Preis", as_number("Preis"))
+
+
+@query("S11_newest_folder", sql("""SELECT "Snapshotdate", "Company", "ArtikelId", "Preis" FROM archive WHERE "Snapshotdate" = (SELECT max("Snapshotdate") FROM archive WHERE year("Snapshotdate") = 1999)""", "archive"))
+def _(spark, sf):
+    path = _archive_path(spark, sf)
+    files = newest_folder(list_files(spark, path, ".csv"), path, "Snapshotdate=1999-")
+    rows = with_origin(read_semicolon(spark, chosen(files), _ARCHIVE_COLUMNS))
+    return rows.select("Snapshotdate", "Company", "ArtikelId", as_number("Preis").alias("Preis"))
+
+
+def _archive(spark, sf, **choice):
+    rows = read_archive(spark, _archive_path(spark, sf), _ARCHIVE_COLUMNS, **choice)
+    return rows.withColumn("Preis", as_number("Preis"))
+
+
 @query("S12_snapshot_archive", sql('SELECT "Company", "Snapshotdate", count(*) AS n, round(sum("Preis"), 4) AS total FROM archive GROUP BY ALL', "archive"))
 def _(spark, sf):
-    rows = spark.read.parquet(_archive_path(spark, sf))
-    return rows.groupBy("Company", "Snapshotdate").agg(F.count("*").alias("n"), F.round(F.sum("Preis"), 4).alias("total"))
+    return _archive(spark, sf).groupBy("Company", "Snapshotdate").agg(F.count("*").alias("n"), F.round(F.sum("Preis"), 4).alias("total"))
 
 
 _LINKS = """SELECT page_id, regexp_extract(a, '(?is)^<a\\s[^>]*>(.*?)</a>$', 1) AS title,
@@ -244,8 +298,22 @@ def _(spark, sf):
 def _(spark, sf):
     part = table(spark, sf, "part")
     scaling = fit_scaling(part, ("p_retailprice", "p_size"))
-    model = fit_kmeans(part, scaling, 4)
-    return part.groupBy(nearest_centre(model, scaling).alias("cluster")).agg(F.count("*").alias("n"))
+    centres = fit_kmeans(part, scaling, 4)
+    return part.groupBy(nearest_centre(centres, scaling).alias("cluster")).agg(F.count("*").alias("n"))
+
+
+_GROUP, _SALES_OF = "p_partkey % 4", (2, 0, 3, 1)
+
+
+@query("M3_separated_groups", f"SELECT count(*) AS n, round(avg({_GROUP} * 100 + p_size / 50), 6) AS x, round(avg([200, 0, 300, 100][{_GROUP} + 1] + p_retailprice / 1000), 6) AS y FROM part GROUP BY {_GROUP}")
+def _(spark, sf):
+    """Four groups far apart: the clusters are the groups."""
+    group = F.expr(_GROUP)
+    second = F.element_at(F.array(*(F.lit(100 * s) for s in _SALES_OF)), (group + 1).cast("int"))
+    points = table(spark, sf, "part").select((group * 100 + F.col("p_size") / 50).alias("x"), (second + F.col("p_retailprice") / 1000).alias("y"))
+    scaling = fit_scaling(points, ("x", "y"))
+    cluster = nearest_centre(fit_kmeans(points, scaling, 4), scaling)
+    return points.groupBy(cluster.alias("c")).agg(F.count("*").alias("n"), F.round(F.avg("x"), 6).alias("x"), F.round(F.avg("y"), 6).alias("y")).drop("c")
 
 
 @query("M4_cluster_names", """WITH m AS (SELECT l_returnflag AS cluster, avg(l_extendedprice) AS a, avg(l_quantity) AS b FROM lineitem GROUP BY ALL),
@@ -271,6 +339,29 @@ def _(spark, sf):
     return rows.select("UID", *(c.name for c in CLUSTERINGS))
 
 
+_RANKS = "['(1) Low', '(2) Low', '(2) High', '(1) High']"
+_LABELS = ", ".join(
+    f"""CASE WHEN p_size = 50 THEN 'Nicht zugeordnet' ELSE {_RANKS}[{first}[{_GROUP} + 1] + 1] || ' {c.measures[0].split("_")[0]}, ' || {_RANKS}[{list(_SALES_OF)}[{_GROUP} + 1] + 1] || ' Sales' END AS "{c.name}" """
+    for c, first in zip(CLUSTERINGS, ([0, 1, 2, 3], [3, 2, 1, 0], [1, 3, 0, 2], [2, 3, 1, 0]), strict=True)
+)
+
+
+@query("M5_separated_groups", f'SELECT p_partkey AS "UID", {_LABELS} FROM part')
+def _(spark, sf):
+    """All four clusterings over groups far apart; some articles are members of none."""
+    def level(*levels):
+        return F.element_at(F.array(*(F.lit(float(x)) for x in levels)), (F.expr(_GROUP) + 1).cast("int")) + F.col("p_size") / 5000
+
+    rows = table(spark, sf, "part").select(
+        F.col("p_partkey").alias("UID"), F.when(F.col("p_size") == 50, 0.95).otherwise(level(0.1, 0.3, 0.5, 0.7)).alias("Margin_perc"),
+        level(*(6 + 2 * s for s in _SALES_OF)).alias("Sales_LTM_Log"), level(9, 7, 5, 3).alias("Quantity_LTM_Log"),
+        level(0.3, 0.7, 0.1, 0.5).alias("ObjectRate"), level(7, 9, 5, 3).alias("SalesConsequents_LTM_Log"),
+    )
+    logs = ("Sales_LTM", "Quantity_LTM", "SalesConsequents_LTM")
+    labelled = add_clusterings(materialise(rows.withColumns({c: F.expm1(f"{c}_Log") for c in logs}), "separated"))
+    return labelled.select("UID", *(c.name for c in CLUSTERINGS))
+
+
 # --- whole flows ---------------------------------------------------------------------------------
 
 
@@ -288,7 +379,7 @@ def _(spark, sf):
 @query("N5_price_tracker", sql("""SELECT "ArtikelId", coalesce("FarbId", '') AS "FarbId", coalesce("AusführungsId", '') AS "AusführungsId", "Art_Txt_Lang", "Preis",
 "Category_Level_1", "Category_Level_2", "Category_Level_3", "Category_Level_4", "Snapshotdate", 'Snapshotdate (' || strftime("Snapshotdate", '%Y-%m-%d') || ')' AS "Snapshotdate_String", "Company" FROM archive""", "archive"))
 def _(spark, sf):
-    return price_tracker(R.archive(spark, sf), R.COMPANIES)
+    return price_tracker(_archive(spark, sf), R.COMPANIES)
 
 
 @query("N6_price_change_report", sql("""SELECT a."ArtikelId" || CASE WHEN coalesce(a."FarbId", '') = '' THEN '000' ELSE a."FarbId" END || coalesce(a."AusführungsId", '') AS "UID",
@@ -301,7 +392,8 @@ def _(spark, sf):
     ids = prepared(spark, sf)[0].select("ArtikelId", F.col("UID").alias("SGVSB"))
     quantity = table(spark, sf, "lineitem").groupBy(F.col("l_partkey").cast("string").alias("ArtikelId")).agg(F.round(F.sum("l_quantity"), 2).alias("Umsatz"))
     sales = ids.join(quantity, "ArtikelId").drop("ArtikelId")
-    return change_report(R.archive(spark, sf), "EUROPE", "1999-03-01", "2000-03-01", sales)
+    archive = _archive(spark, sf, dates=("1999-03-01", "2000-03-01"), companies=("EUROPE",))
+    return change_report(archive, "EUROPE", "1999-03-01", "2000-03-01", sales)
 
 
 _LTM = 'round("GrossSales_LTM", 4) AS "GrossSales_LTM", round("Sales_LTM", 4) AS "Sales_LTM", round("Margin_LTM", 4) AS "Margin_LTM", "Quantity_LTM", round("ObjectRate", 4) AS "ObjectRate", "CountOfOrders", "CountOfCustomers"'
@@ -323,11 +415,11 @@ def _sales(spark, sf):
     return sales_measures(article_master(R.article_lookup(spark, sf), rules), combined_sales(*_systems(spark, sf)))
 
 
-def _analysis_inputs(spark, sf, use_text=True):
+def _analysis_inputs(spark, sf):
     """Match result, sales and basket rules under the article ids of the match result."""
     main, competitors = prepared(spark, sf)
     main = materialise(main, "analysis-main")
-    matched = materialise(match_catalogues(main, competitors, R.SETTINGS, use_text=use_text), "analysis-matched")
+    matched = materialise(match_catalogues(main, competitors, R.SETTINGS), "analysis-matched")
     ids = main.select("UID", F.col("ArtikelId").cast("long").alias("id"))
     named = ids.select("UID", F.concat(F.lit("a"), "id").alias("UniqueId"))
     sales = _sales(spark, sf).join(named, "UniqueId").drop("UniqueId").withColumnRenamed("UID", "UniqueId")
@@ -356,20 +448,17 @@ def _base(inputs):
     )
 
 
-@query("N8_analysis_base", sql("@", "cascade", "combined").replace("\n@", f""", {_BEST_BY_KEY}, wide AS (SELECT "UID", "Preis", {_WIDE_MATCH} FROM flagged GROUP BY ALL)
-SELECT w.*, round("Sales_LTM", 4) AS "Sales_LTM", "CountOfOrders", round(("GrossSales_LTM" - "Sales_LTM") / "GrossSales_LTM", 6) AS "Discount_perc", round(ln("Quantity_LTM" + 1), 6) AS "Quantity_LTM_Log", round(w."Preis" * "Quantity_LTM", 4) AS "GrossSales_Calculated"
-FROM wide w JOIN main m ON m."UID" = w."UID" LEFT JOIN (SELECT c.* FROM combined c JOIN part ON "UniqueId" = 'Ä' || p_partkey WHERE p_brand <> 'Brand#13' AND p_size <> 50) c ON c."UniqueId" = 'Ä' || m."ArtikelId" """))
-def _(spark, sf):
-    return _base(_analysis_inputs(spark, sf, use_text=False))
-
-
-#: The same from the best offer of all stages, the text stage among them.
+#: The best offer of all stages, the text stage among them.
 _FLAGGED_BEST = _BEST_BY_KEY.split(",\n", 1)[1].replace("best_key", "best")
 
 
-@query("N8_analysis_base_text", sql("@", "best", "combined").replace("\n@", f""", {_FLAGGED_BEST}, wide AS (SELECT "UID", "Preis", {_WIDE_MATCH} FROM flagged GROUP BY ALL)
+_ANALYSIS_BASE = sql("@", "best", "combined").replace("\n@", f""", {_FLAGGED_BEST}, wide AS (SELECT "UID", "Preis", {_WIDE_MATCH} FROM flagged GROUP BY ALL)
 SELECT w.*, round("Sales_LTM", 4) AS "Sales_LTM", "CountOfOrders", round(("GrossSales_LTM" - "Sales_LTM") / "GrossSales_LTM", 6) AS "Discount_perc", round(ln("Quantity_LTM" + 1), 6) AS "Quantity_LTM_Log", round(w."Preis" * "Quantity_LTM", 4) AS "GrossSales_Calculated"
-FROM wide w JOIN main m ON m."UID" = w."UID" LEFT JOIN (SELECT c.* FROM combined c JOIN part ON "UniqueId" = 'Ä' || p_partkey WHERE p_brand <> 'Brand#13' AND p_size <> 50) c ON c."UniqueId" = 'Ä' || m."ArtikelId" """))
+FROM wide w JOIN main m ON m."UID" = w."UID" LEFT JOIN (SELECT c.* FROM combined c JOIN part ON "UniqueId" = 'Ä' || p_partkey WHERE p_brand <> 'Brand#13' AND p_size <> 50) c ON c."UniqueId" = 'Ä' || m."ArtikelId" """)
+
+
+@query("N8_analysis_base", _ANALYSIS_BASE)
+@query("N8_analysis_base_text", _ANALYSIS_BASE)
 def _(spark, sf):
     return _base(_analysis_inputs(spark, sf))
 

@@ -14,7 +14,7 @@ from pricelens.operators.ranking import average_rank, first_name_per_group, keep
 from pricelens.operators.reshape import pivot_offers, price_change, unpivot_offers, wide_articles
 from pricelens.plans.analyse import consequent_texts, join_group_names
 from pricelens.plans.prepare import join_reference, prepare_catalogue
-from pricelens.plans.sales import SalesRules, combined_sales, system_a, system_b
+from pricelens.plans.sales import SalesRules, combined_sales, sales_measures, system_a, system_b
 from pricelens.plans.track import article_conditions
 from pricelens.session import materialise
 from workload import roles as R
@@ -58,27 +58,7 @@ def _(spark, sf):
     return filled.select("UID", "EAN", "Joined_on")
 
 
-_CASCADE = 'SELECT m."UID", c.other AS "Preis_Konkurrenz", c.tag AS "Joined_on", c.kurz AS "Txt_Kurz_Konkurrenz" FROM main m LEFT JOIN (SELECT * FROM cascade WHERE "Konkurrenz" = \'EUROPE\') c ON m."UID" = c."UID"'
-
-
-def _cascade_input(spark, sf):
-    main, comp = stored(spark, sf)
-    return C.with_empty_offer(main), comp.where(F.col("Konkurrenz") == "EUROPE")
-
-
-@query("J4_chained_cascade", sql(_CASCADE, "main", "cascade"))
-def _(spark, sf):
-    left, right = _cascade_input(spark, sf)
-    return C.chained_cascade(left, right, R.BY_UID).select("UID", "Preis_Konkurrenz", "Joined_on", "Txt_Kurz_Konkurrenz")
-
-
-@query("J4_single_join_cascade", sql(_CASCADE, "main", "cascade"))
-def _(spark, sf):
-    left, right = _cascade_input(spark, sf)
-    return C.single_join_cascade(left, right, R.BY_UID, "UID").select("UID", "Preis_Konkurrenz", "Joined_on", "Txt_Kurz_Konkurrenz")
-
-
-_CASCADE_ALL = 'SELECT m."UID", k."Konkurrenz", c.other AS "Preis_Konkurrenz", c.tag AS "Joined_on", c.kurz AS "Txt_Kurz_Konkurrenz" FROM main m CROSS JOIN (SELECT DISTINCT "Konkurrenz" FROM competitor) k LEFT JOIN cascade c ON m."UID" = c."UID" AND k."Konkurrenz" = c."Konkurrenz"'
+_CASCADE = 'SELECT m."UID", k."Konkurrenz", c.other AS "Preis_Konkurrenz", c.tag AS "Joined_on", c.kurz AS "Txt_Kurz_Konkurrenz" FROM main m CROSS JOIN (SELECT DISTINCT "Konkurrenz" FROM competitor) k LEFT JOIN cascade c ON m."UID" = c."UID" AND k."Konkurrenz" = c."Konkurrenz"'
 
 
 def _all_companies(spark, sf, cascade):
@@ -91,12 +71,14 @@ def _all_companies(spark, sf, cascade):
     return reduce(DataFrame.unionByName, [p.select("UID", "Konkurrenz", "Preis_Konkurrenz", "Joined_on", "Txt_Kurz_Konkurrenz") for p in parts])
 
 
-@query("J4_chained_cascade_all", sql(_CASCADE_ALL, "main", "cascade"))
+@query("J4_chained_cascade", sql(_CASCADE, "main", "cascade"))
+@query("J4_chained_cascade_all", sql(_CASCADE, "main", "cascade"))
 def _(spark, sf):
     return _all_companies(spark, sf, C.chained_cascade)
 
 
-@query("J4_single_join_cascade_all", sql(_CASCADE_ALL, "main", "cascade"))
+@query("J4_single_join_cascade", sql(_CASCADE, "main", "cascade"))
+@query("J4_single_join_cascade_all", sql(_CASCADE, "main", "cascade"))
 def _(spark, sf):
     return _all_companies(spark, sf, lambda left, right, keys: C.single_join_cascade(left, right, keys, "UID"))
 
@@ -131,6 +113,17 @@ def _(spark, sf):
     return near.select("doc_id", "Closest", F.round("Distance", 8).alias("Distance"))
 
 
+_EVEN, _ODD = ("(SELECT * FROM documents WHERE doc_id % 2 = {0})".format(i) for i in (0, 1))
+
+
+@query("J6_documents", _nearest_sql(_EVEN, "doc_id", _ODD, "doc_id") + ' SELECT lid AS doc_id, rid AS "Closest", round(distance, 6) + 0 AS "Distance" FROM best')
+def _(spark, sf):
+    """All documents, those with even ids as one catalogue and those with odd ids as the other."""
+    docs = table(spark, sf, "documents")
+    near = nearest_text(docs.where("doc_id % 2 = 0"), docs.where("doc_id % 2 = 1"), "doc_id", "doc_id")
+    return near.select("doc_id", "Closest", F.round("Distance", 6).alias("Distance"))
+
+
 @query("F12_cosine_distance", _nearest_sql("conversations", "conv_id * 1000 + turn", "documents", "doc_id") + ' SELECT lid AS turn_id, rid AS "Closest", round(distance, 8) AS "Distance" FROM best')
 def _(spark, sf):
     turns = table(spark, sf, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("turn_id"), "text")
@@ -210,10 +203,11 @@ def _(spark, sf):
 
 @query("J14_collated_join", "SELECT a.p_partkey AS left_key, b.p_partkey AS right_key FROM part a LEFT JOIN part b ON a.p_partkey = b.p_partkey AND b.p_size > 10")
 def _(spark, sf):
-    part = table(spark, sf, "part")
-    left = part.select(F.col("p_partkey").alias("left_key"), F.concat(F.lit("Ärt-"), "p_partkey").alias("l"))
-    right = part.where("p_size > 10").select(F.col("p_partkey").alias("right_key"), F.concat(F.lit("aRT-"), "p_partkey").alias("r"))
-    return left.join(right, F.collate("l", "UNICODE_CI_AI") == F.collate("r", "UNICODE_CI_AI"), "left").select("left_key", "right_key")
+    """Ids that differ in case, accents and trailing blanks."""
+    part, blanks = table(spark, sf, "part"), F.repeat(F.lit(" "), F.col("p_partkey").cast("int") % 3)
+    left = part.select(F.col("p_partkey").alias("left_key"), F.concat(F.lit("Ärt-"), "p_partkey", blanks).alias("SGVSB"))
+    right = part.where("p_size > 10").select(F.col("p_partkey").alias("right_key"), F.concat(F.lit("aRT-"), "p_partkey").alias("UniqueId"))
+    return sales_measures(left, right).select("left_key", "right_key")
 
 
 @query("J15_aligned_update", "SELECT p_partkey, CASE WHEN p_size > 25 THEN p_brand ELSE p_type END AS p_type FROM part")
@@ -223,14 +217,18 @@ def _(spark, sf):
     return aligned_update(part.select("p_partkey", "p_type"), new, "p_partkey", "p_type")
 
 
-@query("J16_conditions_and_sales", """SELECT 'Ä' || p_partkey AS "Artikel", p_name AS "SGVSB", top AS "Bruttoverkauf", round(total, 4) AS "Umsatz" FROM part
+@query("J16_conditions_and_sales", """SELECT 'Ä' || p_partkey AS "Artikel", p_name AS "SGVSB", p_brand AS "Lieferant", top AS "Bruttoverkauf", round(total, 4) AS "Umsatz" FROM part
 LEFT JOIN (SELECT l_partkey, max(l_extendedprice) AS top FROM lineitem GROUP BY ALL) ON l_partkey = p_partkey
-LEFT JOIN (SELECT l_partkey AS k, sum(l_extendedprice) AS total FROM lineitem WHERE l_shipdate >= DATE '2000-01-01' AND l_shipdate < DATE '2001-01-01' GROUP BY ALL) ON k = p_partkey""")
+LEFT JOIN (SELECT l_partkey AS k, sum(l_extendedprice) AS total FROM lineitem WHERE l_shipdate >= DATE '2000-01-01' AND l_shipdate < DATE '2001-01-01' GROUP BY ALL) ON k = p_partkey
+WHERE p_size % 7 <> 0 AND p_brand <> 'Brand#13'""")
 def _(spark, sf):
+    """Some articles have an id of blanks, or the excluded supplier; sales ids have trailing blanks."""
     lines, article = table(spark, sf, "lineitem"), F.concat(F.lit("Ä"), "p_partkey")
-    master = table(spark, sf, "part").select(article.alias("Artikel"), F.col("p_name").alias("SGVSB"))
+    uid = F.when(F.col("p_size") % 7 == 0, "  ").otherwise(F.col("p_name"))
+    supplier = F.when(F.col("p_brand") == "Brand#13", "00008537 ").otherwise(F.col("p_brand"))
+    master = table(spark, sf, "part").select(article.alias("Artikel"), uid.alias("SGVSB"), supplier.alias("Lieferant"))
     conditions = lines.select(F.concat(F.lit("Ä"), "l_partkey").alias("Artikel"), F.col("l_extendedprice").alias("Bruttoverkauf"))
-    sales = lines.where("year(l_shipdate) = 2000").select(F.concat(F.lit("a"), "l_partkey").alias("iditemOrigin"), F.col("l_extendedprice").alias("Sales"))
+    sales = lines.where("year(l_shipdate) = 2000").select(F.concat(F.lit("a"), "l_partkey", F.lit(" ")).alias("iditemOrigin"), F.col("l_extendedprice").alias("Sales"))
     return article_conditions(master, conditions, sales).withColumn("Umsatz", F.round("Umsatz", 4))
 
 
