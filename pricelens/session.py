@@ -57,10 +57,20 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """The folder that holds all intermediate tables of this application."""
+    return f"{shared_dir(spark)}/pricelens-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for an intermediate table, below one folder per application."""
-    application = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/pricelens-{application}/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> bool:
+    """Removes the application's intermediate tables; results that still read them must be written before."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

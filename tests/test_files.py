@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pricelens.functions.nulls import as_number
 from pricelens.plans.catalogue import article_rows, articles_from_xml, category_paths, deeper_paths, reference_from_fixed_width, shape_conflicts
 from pricelens.plans.track import article_conditions, change_report, price_tracker, read_archive
-from pricelens.session import materialise, shared_dir
+from pricelens.session import materialise, remove_scratch, scratch_folder, shared_dir
 from pricelens.settings import load_settings
 from pricelens.sinks.writers import write_analysis, write_archive, write_by_origin, write_semicolon, write_tabs
 from pricelens.sources.catalogue_xml import broken_records, read_articles, read_register
@@ -273,3 +273,10 @@ def test_materialised_tables_lie_in_the_shared_folder(spark):
     frame = materialise(spark.range(3).withColumn("Preis (CHF)", F.lit("1.5")), "numbers")
     assert shared_dir(spark) in frame.inputFiles()[0]
     assert frame.select(as_number("Preis (CHF)")).first()[0] == 1.5
+
+
+def test_scratch_is_removed_at_the_end(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("pricelens.session.shared_dir", lambda _: str(tmp_path))
+    materialise(spark.range(3), "numbers")
+    assert [p.name for p in tmp_path.iterdir()] == [scratch_folder(spark).rsplit("/", 1)[1]]
+    assert remove_scratch(spark) and not list(tmp_path.iterdir()) and not remove_scratch(spark)
