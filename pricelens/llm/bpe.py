@@ -18,6 +18,8 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
+from pricelens.llm.common import trim
+
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: Memoised pieces of a task: at most so many, of at most so many characters.
 MEMO_PIECES, MEMO_CHARS = 200_000, 64
@@ -173,6 +175,7 @@ def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
         for frame in frames:
             done = [work.encode(text or "") for text in frame["text"]]
             yield pd.DataFrame({"doc_id": frame["doc_id"], "n_tokens": [n for _, n in done], "ids": [ids for ids, _ in done]})
+        trim()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, n_tokens long, ids string")
@@ -187,5 +190,6 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
         work = text_machine(source.value)
         for frame in frames:
             yield frame.assign(decoded=[work.decode(ids or "") for ids in frame["ids"]])
+        trim()
 
     return encoded.mapInPandas(run, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in encoded.schema)}, decoded string")
