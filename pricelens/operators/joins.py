@@ -83,7 +83,7 @@ def left_join_present(
     """
     left_names, right_names = as_names(left_on), as_names(right_on)
     # a literal 0 would be folded into a condition on the left side, and the lane would leave the join keys
-    lane = F.pmod(_row_hash(right), F.lit(1)).cast("int")
+    lane = F.pmod(F.xxhash64(col(right_names[0])), F.lit(1)).cast("int")
     renamed = right.where(~missing(right_names)).select(
         lane.alias("__lane"),
         *(_key(right, n).alias(f"__key{i}") for i, n in enumerate(right_names)),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -73,6 +74,16 @@ def remove_scratch(spark: SparkSession) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of finished steps now.
+
+    Its cleaner removes what the driver's garbage collector has found, which may be long after a step of a job that writes
+    a lot. Call it between steps whose results are written.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and go on from there.
 
