@@ -82,7 +82,7 @@ class Aligner:
         self.forget()
 
     def forget(self) -> None:
-        self.memo = UnitMemo(self._words, self._strings, lead=True)
+        self.memo = UnitMemo(self._words, self._strings, self._settle, np.concatenate, lead=True)
         #: By unit: groups as text (None: bytes differ), tokens of A and of B, groups, and linked pairs as ``b << 32 | a``.
         self.groups: list[bytes | None] = []
         self.counts: list[tuple[int, int, int]] = []
@@ -153,12 +153,17 @@ class Aligner:
             out += self._strings([" " + w for w in part]) if numbers is None else numbers
         return out
 
-    def units_of(self, texts: list[str]) -> Iterator[list[int]]:
+    @staticmethod
+    def _settle(values: list[int], codes: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+        return np.split(np.array([-1 if v is None else v for v in values], dtype=np.int64)[codes], starts[1:-1])
+
+    def units_of(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The unit numbers of each text; none for an empty one."""
+        none = np.zeros(0, dtype=np.int64)
         if not self.cut:
-            return iter([self._strings([" " + t]) if t else [] for t in texts])
+            return iter([np.array(self._strings([" " + t]), dtype=np.int64) if t else none for t in texts])
         values = self.memo.of([t for t in texts if t])
-        return (next(values) if t else [] for t in texts)
+        return (next(values) if t else none for t in texts)
 
 
 @functools.lru_cache(maxsize=1)
@@ -247,7 +252,7 @@ def align(docs: DataFrame, vocabulary: str, model: str, keep_groups: bool = Fals
             id_type = batch.schema.field("doc_id").type
             texts = [t or "" for t in batch.column("text").to_pylist()]
             doc_ids += batch.column("doc_id").to_pylist()
-            found += [np.array(numbers, dtype=np.int64) for numbers in work.units_of(texts)]
+            found += work.units_of(texts)
             size += sum(map(len, texts))
             if size >= CHUNK_CHARS:
                 yield from _chunk_rows(work, first + seq, doc_ids, found, id_type, keep_groups)

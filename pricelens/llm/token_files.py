@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pricelens.llm.common import partitions, text_print
-from pricelens.llm.units import UnitIds
+from pricelens.llm.units import UnitIds, runs
 from pricelens.session import materialise, scratch_path
 
 MAGIC = b"PFR1"
@@ -54,12 +54,6 @@ BATCH_BYTES = 4 << 20
 MANIFEST = "part int, seq int, path string, n_ids long, n_docs long, n_bytes long"
 
 
-def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The places ``start, start + 1, ...`` of all runs, one run after the other."""
-    ends = np.cumsum(sizes)
-    return np.repeat(starts - ends + sizes, sizes) + np.arange(int(sizes.sum()))
-
-
 def _pack_rows(rows: np.ndarray, width: int) -> np.ndarray:
     """Rows of ``BLOCK`` numbers at ``width`` bits: slot by slot over lanes of 64-bit words."""
     slots = rows.reshape(len(rows), -1, LANES)
@@ -111,8 +105,8 @@ def pack_blocks(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         out[(starts[at] + HEAD.itemsize)[:, None] + np.arange(packed.shape[1])] = packed
     block, places = np.nonzero(high)
     lists = starts + HEAD.itemsize + 8 * LANES * width
-    out[_spread(lists, 2 * patched)] = places.astype("<u2").view(np.uint8)
-    out[_spread(lists + 2 * patched, 4 * patched)] = high[block, places].astype("<u4").view(np.uint8)
+    out[runs(lists, 2 * patched)] = places.astype("<u2").view(np.uint8)
+    out[runs(lists + 2 * patched, 4 * patched)] = high[block, places].astype("<u4").view(np.uint8)
     return out.tobytes(), sizes
 
 
@@ -128,8 +122,8 @@ def unpack_blocks(data: bytes, starts: np.ndarray) -> np.ndarray:
         rows[at] = _unpack_rows(words.reshape(-1).view("<u8").reshape(len(at), int(w), LANES), int(w))
     lists = starts + HEAD.itemsize + 8 * LANES * width
     block = np.repeat(np.arange(len(starts)), patched)
-    places = raw[_spread(lists, 2 * patched)].view("<u2")
-    high = raw[_spread(lists + 2 * patched, 4 * patched)].view("<u4")
+    places = raw[runs(lists, 2 * patched)].view("<u2")
+    high = raw[runs(lists + 2 * patched, 4 * patched)].view("<u4")
     rows[block, places] |= high.astype(np.uint64) << width[block].astype(np.uint64)
     rows += heads["low"][:, None].astype(np.uint64)
     return rows[np.arange(BLOCK) < heads["count"][:, None].astype(np.int64)].astype("<u4")
@@ -268,8 +262,8 @@ def write_ids(docs: DataFrame, vocabulary: str, end_id: int, folder: str | None
 
 def read_ids(spark: SparkSession, manifest: DataFrame, id_type: str = "bigint") -> DataFrame:
     """``doc_id, start, n_tokens, ids`` of every document of the files; ``ids`` are 32-bit little-endian numbers."""
-    runs = F.sequence(F.lit(0), F.greatest(F.lit(0), ((F.col("n_ids") - 1) / RUN_IDS).cast("int")))
-    tasks = manifest.select("path", "start", F.explode(runs).alias("run")).repartition(partitions(spark), "path", "run")
+    parts = F.sequence(F.lit(0), F.greatest(F.lit(0), ((F.col("n_ids") - 1) / RUN_IDS).cast("int")))
+    tasks = manifest.select("path", "start", F.explode(parts).alias("run")).repartition(partitions(spark), "path", "run")
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
@@ -289,11 +283,11 @@ def read_ids(spark: SparkSession, manifest: DataFrame, id_type: str = "bigint")
                 stop = max(first + 1, int(np.searchsorted(ends, starts[first] + BATCH_BYTES // 4, side="right")))
                 stop = min(stop, int(last))
                 data = b"".join(x.tobytes() for x in file.ids(int(starts[first]), int(ends[stop - 1])))
-                cuts = 4 * (starts[first:stop] - starts[first])
-                ids = [data[s : s + 4 * n] for s, n in zip(cuts.tolist(), counts[first:stop].tolist(), strict=True)]
+                cuts = (4 * (np.append(starts[first:stop], ends[stop - 1]) - starts[first])).astype(np.int32)
+                ids = pa.Array.from_buffers(pa.binary(), stop - first, [None, pa.py_buffer(cuts), pa.py_buffer(data)])
                 doc_ids = docs.column("doc_id").slice(first, stop - first).combine_chunks()
                 yield pa.RecordBatch.from_arrays(
-                    [doc_ids, pa.array(row["start"] + starts[first:stop]), pa.array(counts[first:stop]), pa.array(ids, pa.binary())],
+                    [doc_ids, pa.array(row["start"] + starts[first:stop]), pa.array(counts[first:stop]), ids],
                     names=["doc_id", "start", "n_tokens", "ids"],
                 )
                 first = stop

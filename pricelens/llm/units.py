@@ -12,12 +12,12 @@ import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Units of a task that are remembered: at most so many, of at most so many characters. Characters worked on at once.
-HELD, HELD_CHARS, SLICE_CHARS = 800_000, 64, 1 << 20
+HELD, HELD_CHARS, SLICE_CHARS = 1_200_000, 64, 1 << 22
 BATCH = 1024
-#: Signs that may end a word (no apostrophe, which can begin a piece with letters), and the end of the Latin letters.
-TAIL, LATIN = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~", "\u0250"
 
 
 def ends_safely(unit: str) -> bool:
@@ -50,18 +50,26 @@ def pieces(text: str) -> Iterator[str]:
     yield text[start:]
 
 
+def runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places ``start, start + 1, ...`` of all runs, one run after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(int(sizes.sum()))
+
+
 class UnitMemo:
-    """Values of the units of texts, learned once.
+    """Results of texts from the values of their units, which are learned once.
 
     ``words`` gives the values of units that are a blank and a word without blanks (the words come without that blank),
-    ``strings`` those of any other units. With ``lead`` every text counts as if a blank stood before it.
+    ``strings`` those of any other units. ``settle(values, codes, starts)`` makes the results of texts: ``codes`` are the
+    numbers of the values of all their units in order, ``starts`` where each text begins and where the last one ends.
+    ``join`` makes one result from those of the pieces of a long text. With ``lead`` every text counts as if a blank stood
+    before it.
     """
 
-    def __init__(self, words: Callable[[list[str]], list], strings: Callable[[list[str]], list], lead: bool = False) -> None:
-        self.words, self.strings, self.lead = words, strings, lead
+    def __init__(self, words: Callable, strings: Callable, settle: Callable, join: Callable, lead: bool = False) -> None:
+        self.words, self.strings, self.settle, self.join, self.lead = words, strings, settle, join, lead
         self.held: dict[str, object] = {}
         self.older: dict[str, object] = {}  # units go here first, and are forgotten unless they recur
-        self.unsafe: set[str] = set()
 
     def _odd(self, text: str) -> list:
         found = list(units(text))
@@ -70,43 +78,64 @@ class UnitMemo:
         told = iter(self.strings(rest))
         return [next(told) if k is None else k for k in known]
 
-    def _slice(self, texts: list[str], lead: bool) -> Iterator[list]:
-        """The values of some texts; with ``lead`` each of them counts as if a blank stood before it."""
+    def _values(self, words: list[str]) -> list:
+        """The values of different words; None where a word ends so that no unit may end there."""
         if 2 * len(self.held) > HELD:
             self.held, self.older = {}, self.held
         held, older = self.held, self.older
-        split = [t.split(" ") for t in texts]
-        fresh = [w for w in set().union(*split) if w not in held]
-        held.update([(w, older[w]) for w in fresh if w in older])
-        fresh = [w for w in fresh if w not in held]
-        good = [w for w in fresh if ends_safely(w)]
-        held.update(zip(good, self.words(good), strict=True))
-        unsafe = set(fresh).difference(good) if len(good) < len(fresh) else set()
-        plain = [unsafe.isdisjoint(s) for s in split]
-        heads = iter(()) if lead else iter(self.strings([s[0] for s, p in zip(split, plain, strict=True) if p]))
-        for text, words, fine in zip(texts, split, plain, strict=True):
-            if not fine:
-                yield self._odd(" " + text if lead else text)
-                continue
-            values = list(map(held.__getitem__, words))
-            if not lead:
-                values[0] = next(heads)
-            yield values
-        for word in good:
-            if len(word) > HELD_CHARS:
-                del held[word]
-
-    def of(self, texts: list[str]) -> Iterator[list]:
-        """The values of the units of each text, in order; memory is bounded by a slice and by the values of one text."""
+        values = list(map(held.get, words))
+        fresh, places = [], []
+        for i in [i for i, v in enumerate(values) if v is None]:
+            word = words[i]
+            if word in older:
+                held[word] = values[i] = older[word]
+            elif ends_safely(word):
+                fresh.append(word)
+                places.append(i)
+        for i, word, value in zip(places, fresh, self.words(fresh), strict=True):
+            values[i] = value
+            if len(word) <= HELD_CHARS:
+                held[word] = value
+        return values
+
+    def _slice(self, texts: list[str], lead: bool) -> list:
+        if not texts:
+            return []
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        starts = split.offsets.to_numpy().astype(np.int64)
+        coded = split.values.dictionary_encode()
+        codes = coded.indices.to_numpy().astype(np.int64)
+        values = self._values(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        unsafe = np.array([v is None for v in values], dtype=bool)
+        odd = np.add.reduceat(unsafe[codes], starts[:-1]) > 0
+        if not lead:
+            plain = np.flatnonzero(~odd)
+            heads = self.strings([texts[i].split(" ", 1)[0] for i in plain.tolist()])
+            codes[starts[plain]] = len(values) + np.arange(len(plain))
+            values += heads
+        if odd.any():
+            parts = []
+            for i, text in enumerate(texts):
+                part = codes[starts[i] : starts[i + 1]]
+                if odd[i]:
+                    own = self._odd(" " + text if lead else text)
+                    part = len(values) + np.arange(len(own))
+                    values += own
+                parts.append(part)
+            codes = np.concatenate(parts)
+            starts = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+        return self.settle(values, codes, starts)
+
+    def of(self, texts: list[str]) -> Iterator:
+        """The result of each text, in order; memory is bounded by a slice and by the result of one text."""
         waiting, size = [], 0
         for text in texts:
             if len(text) > SLICE_CHARS:
                 yield from self._slice(waiting, self.lead)
                 waiting, size, out = [], 0, []
                 for i, piece in enumerate(pieces(text)):
-                    for values in self._slice([piece[1:] if i else piece], self.lead or i > 0):
-                        out += values
-                yield out
+                    out += self._slice([piece[1:] if i else piece], self.lead or i > 0)
+                yield self.join(out)
                 continue
             waiting.append(text)
             size += len(text)
@@ -135,11 +164,9 @@ class UnitIds:
         self.library.no_truncation()
         self.library.no_padding()
         spec = json.loads(source)
-        self.memo = UnitMemo(self._words, self._strings) if can_be_cut(spec) else None
+        self.memo = UnitMemo(self._words, self._strings, self._settle, b"".join) if can_be_cut(spec) else None
         self.blank = np.zeros(self.library.get_vocab_size(), dtype=bool)
         self.blank[[i for t, i in spec["model"]["vocab"].items() if t[0] == "Ġ"]] = True
-        self.special = [t["content"] for t in spec["added_tokens"]]
-        self.tails = {"": b""}
 
     def _strings(self, strings: list[str]) -> list[bytes]:
         out = []
@@ -147,7 +174,7 @@ class UnitIds:
             out += [np.array(e.ids, dtype="<u4").tobytes() for e in self.library.encode_batch_fast(strings[at : at + BATCH], add_special_tokens=False)]
         return out
 
-    def _encoded(self, words: list[str]) -> list[bytes]:
+    def _words(self, words: list[str]) -> list[bytes]:
         out = []
         for at in range(0, len(words), BATCH):
             done = self.library.encode_batch_fast([" " + " ".join(words[at : at + BATCH])], add_special_tokens=False)
@@ -157,24 +184,16 @@ class UnitIds:
             out += [data[s:e] for s, e in zip(starts, [*starts[1:], len(data)], strict=True)]
         return out
 
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Signs behind a Latin letter or digit are a piece of their own, so a word is its core and its tail."""
-        cores = [w.rstrip(TAIL) for w in words]
-        cores = [c if c and c[-1].isalnum() and c[-1] < LATIN and not any(t in w for t in self.special) else w for c, w in zip(cores, words, strict=True)]
-        known, older = self.memo.held, self.memo.older
-        fresh = [c for c in dict.fromkeys(cores) if c not in known and c not in older]
-        told = dict(zip(fresh, self._encoded(fresh), strict=True))
-        tails = {w[len(c) :] for w, c in zip(words, cores, strict=True)} - self.tails.keys()
-        self.tails.update(zip(tails, self._strings(list(tails)), strict=True))
-        out = []
-        for word, core in zip(words, cores, strict=True):
-            ids = told.get(core) or known.get(core) or older[core]
-            out.append(ids if len(word) == len(core) else ids + self.tails[word[len(core) :]])
-        if len(self.tails) > BATCH:
-            self.tails = {"": b""}
-        return out
-
     def of(self, texts: list[str]) -> Iterator[bytes]:
         if self.memo is None:
             return iter(self._strings(texts))
-        return map(b"".join, self.memo.of(texts))
+        return self.memo.of(texts)
+
+    @staticmethod
+    def _settle(values: list[bytes], codes: np.ndarray, starts: np.ndarray) -> list[bytes]:
+        sizes = np.array([0 if v is None else len(v) for v in values], dtype=np.int64) // 4
+        begins = np.cumsum(sizes) - sizes
+        ids = np.frombuffer(b"".join([v or b"" for v in values]), "<u4")[runs(begins[codes], sizes[codes])].tobytes()
+        ends = np.concatenate([[0], np.cumsum(sizes[codes])])
+        cuts = (4 * ends[starts]).tolist()
+        return [ids[s:e] for s, e in zip(cuts[:-1], cuts[1:], strict=True)]
