@@ -28,12 +28,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelens.llm import hashing as H
-from pricelens.llm.common import ascii_lower
+from pricelens.llm.common import ascii_lower, partitions, trim
+from pricelens.llm.units import runs
 from pricelens.session import materialise
 
 SHARD_BYTES, ITEM_BYTES, SLICE_BYTES = 4 << 20, 4 << 20, 1 << 20
@@ -41,7 +43,7 @@ BLOCK, SEEDS, PROJECTIONS = 64, 64, 32
 #: Impacts are at most a million; a summary keeps them in steps of this size, rounded up to one byte.
 STEP = 4096
 #: Terms of documents of posting lists that are summarised at a time.
-EXPANDED = 1 << 22
+EXPANDED = 1 << 20
 SEPARATORS = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 #: Bytes to terms: A-Z in lower case, separators as blanks, everything else as it is.
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -80,12 +82,6 @@ def _loaded(data: bytes) -> np.ndarray:
     return H.unpack_counts(data).astype(np.int64)
 
 
-def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The places ``start, start + 1, ...`` of all runs, one run after the other."""
-    ends = np.cumsum(sizes)
-    return np.repeat(starts - ends + sizes, sizes) + np.arange(int(sizes.sum()))
-
-
 def cluster(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """An order of the rows in which similar ones are neighbours, and the sizes of blocks of at most ``BLOCK`` rows."""
     n = len(vectors)
@@ -101,26 +97,28 @@ def cluster(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.array(sizes)
 
 
-def summaries(members: np.ndarray, sizes: np.ndarray, starts: np.ndarray, lens: np.ndarray, terms: np.ndarray, steps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each block the number of its terms, the terms in order, and their greatest steps."""
+def summaries(members: np.ndarray, sizes: np.ndarray, starts: np.ndarray, lens: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each block the number of its terms, the terms in order, and their greatest steps.
+
+    ``entries`` has ``term << 8 | step`` of each term of each document.
+    """
     block = np.repeat(np.arange(len(sizes)), sizes)
     cost = np.cumsum(np.add.reduceat(lens[members], np.cumsum(sizes) - sizes)) if len(sizes) else np.zeros(0)
-    counts, out_terms, out_steps = [], [], []
+    counts, out = [], [np.zeros(0, dtype=np.int64)]
     first = 0
     while first < len(sizes):
         last = max(first + 1, int(np.searchsorted(cost, (cost[first - 1] if first else 0) + EXPANDED, side="right")))
         here = slice(*np.searchsorted(block, [first, last]))
         docs = members[here]
-        at = _spread(starts[docs], lens[docs])
-        keys = (np.repeat(block[here] - first, lens[docs]) << 32 | terms[at]) << 8 | steps[at]
-        keys = np.sort(keys)
+        keys = np.repeat(block[here] - first << 40, lens[docs])
+        keys |= entries[runs(starts[docs], lens[docs])]
+        keys.sort()
         keys = keys[np.append(keys[1:] >> 8 != keys[:-1] >> 8, True)]  # the greatest step of each block and term
         counts.append(np.bincount(keys >> 40, minlength=last - first))
-        out_terms.append(keys >> 8 & 0xFFFFFFFF)
-        out_steps.append(keys & 0xFF)
+        out.append(keys & (1 << 40) - 1)
         first = last
-    none = [np.zeros(0, dtype=np.int64)]
-    return np.concatenate(counts or none), np.concatenate(out_terms or none), np.concatenate(out_steps or none)
+    tops = np.concatenate(out)
+    return np.concatenate(counts or out), tops >> 8, (tops & 0xFF).astype(np.uint8)
 
 
 class Shard:
@@ -137,9 +135,8 @@ class Shard:
         if "sum_terms" in row:
             self.sum_lens = _loaded(row["sum_lens"])
             self.sum_starts = np.cumsum(self.sum_lens) - self.sum_lens
-            steps = _loaded(row["sum_terms"])
-            self.sum_terms = np.cumsum(steps - (steps >> 31 << 32))
-            self.sum_steps = _loaded(row["sum_steps"])
+            self.sum_terms = np.cumsum(H.unpack_counts(row["sum_terms"]), dtype=np.uint32)  # differences modulo 2**32
+            self.sum_steps = np.frombuffer(zstandard.decompress(row["sum_steps"]), np.uint8)
 
     @staticmethod
     def built(row: dict, n_texts: int, n_terms: int, weights: np.ndarray) -> dict:
@@ -164,17 +161,17 @@ class Shard:
             blocks.append(len(cut))
         none = [np.zeros(0, dtype=np.int64)]
         members, sizes = np.concatenate(members or none), np.concatenate(sizes or none)
-        steps = -(-impact // STEP)
-        sum_lens, sum_terms, sum_steps = summaries(members, sizes, starts, lens, terms, steps)
+        sum_lens, sum_terms, sum_steps = summaries(members, sizes, starts, lens, terms << 8 | -(-impact // STEP))
         arrays = {
             "lens": lens, "terms": terms, "impacts": impact, "list_terms": by_term[cuts[:-1]], "list_blocks": np.array(blocks, dtype=np.int64),
             "list_max": np.maximum.reduceat(impact[order], cuts[:-1]) if len(order) else none[0], "members": members, "sizes": sizes,
-            "sum_lens": sum_lens, "sum_terms": np.diff(sum_terms, prepend=0) & 0xFFFFFFFF, "sum_steps": sum_steps,
+            "sum_lens": sum_lens, "sum_terms": np.diff(sum_terms, prepend=0) & 0xFFFFFFFF,
         }
-        return {"shard": row["shard"], "doc_ids": row["doc_ids"], **{name: _stored(arrays[name]) for name in ARRAYS}}
+        packed = {name: _stored(a) for name, a in arrays.items()} | {"sum_steps": zstandard.compress(sum_steps.tobytes(), 1)}
+        return {"shard": row["shard"], "doc_ids": row["doc_ids"], **{name: packed[name] for name in ARRAYS}}
 
     def scores(self, docs: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        at = _spread(self.starts[docs], self.lens[docs])
+        at = runs(self.starts[docs], self.lens[docs])
         lens = self.lens[docs]
         return np.add.reduceat(weights[self.terms[at]] * self.impacts[at], np.cumsum(lens) - lens)
 
@@ -199,15 +196,15 @@ class Shard:
         most = weights[self.list_terms[lists]] * self.list_max[lists]
         order = np.argsort(most, kind="stable")
         walked = lists[order[np.cumsum(most[order]) >= bound]]
-        blocks = _spread(self.first_block[walked], self.first_block[walked + 1] - self.first_block[walked])
-        every = int(self.sizes[_spread(self.first_block[lists], self.first_block[lists + 1] - self.first_block[lists])].sum())
+        blocks = runs(self.first_block[walked], self.first_block[walked + 1] - self.first_block[walked])
+        every = int(self.sizes[runs(self.first_block[lists], self.first_block[lists + 1] - self.first_block[lists])].sum())
         if not len(blocks):
             return np.zeros(0, dtype=np.int64), every, 0
         lens = self.sum_lens[blocks]
-        at = _spread(self.sum_starts[blocks], lens)
+        at = runs(self.sum_starts[blocks], lens)
         tops = STEP * np.add.reduceat(weights[self.sum_terms[at]] * self.sum_steps[at], np.cumsum(lens) - lens)
         blocks = blocks[tops >= bound]
-        docs = np.unique(self.members[_spread(self.block_starts[blocks], self.sizes[blocks])])
+        docs = np.unique(self.members[runs(self.block_starts[blocks], self.sizes[blocks])])
         return docs, every, int(self.sizes[blocks].sum())
 
 
@@ -273,6 +270,7 @@ def term_counts(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
                     ids, found, lengths, size, n_texts, n_terms, number = [], [], [], 0, 0, 0, number + 1
         if n_texts:
             yield shard()
+        trim()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return materialise(docs.select("doc_id", "text").mapInArrow(run, SHARDS.format(id=kind)), "term-counts")
@@ -303,9 +301,12 @@ def build_index(shards: DataFrame, n_texts: int, n_terms: int, weights: np.ndarr
             id_type = batch.schema.field("doc_ids").type.value_type
             for row in batch.to_pylist():
                 yield _rows_batch([Shard.built(row, n_texts, n_terms, shared.value)], id_type)
+        trim()
 
     columns = ["shard", "doc_ids", "n", "lens", "terms", "tf"]
-    return materialise(shards.select(columns).mapInArrow(run, INDEX.format(id=field)), "block-index")
+    # an index row is some hundred times a row of counts: few of them a task
+    dealt = shards.select(columns).repartition(partitions(shards.sparkSession), "shard")
+    return materialise(dealt.mapInArrow(run, INDEX.format(id=field)), "block-index")
 
 
 def _search(index: DataFrame, items: dict[int, np.ndarray], weights: np.ndarray, k: int, bounds: dict[int, int] | None) -> DataFrame:
@@ -341,6 +342,7 @@ def _search(index: DataFrame, items: dict[int, np.ndarray], weights: np.ndarray,
                     now[terms] = 0
         rows = [(i, -s, None if none else d, n, at, 0, 0) for i, found in best.rows.items() for s, none, d, n, at in found]
         rows += [(i, 0, None, 0, -1, held[i], scored[i]) for i in held if held[i]]
+        trim()
         if id_type is not None:
             kinds = [pa.int64(), pa.int64(), id_type, pa.int64(), pa.int64(), pa.int64(), pa.int64()]
             names = ["item", "score", "doc_id", "shard", "place", "held", "scored"]
