@@ -9,6 +9,9 @@ a value of its own; null and empty texts have one token, the end of the text.
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +19,9 @@ from pricelens.llm.common import split_words
 from pricelens.session import materialise
 
 MARGINALS = ("source", "lang", "topic")
-TEMPER, BUDGET, ROUNDS, EXACT = 0.7, 0.8, 40, 1e-6
+TEMPER, BUDGET = 0.7, 0.8
+#: Raking ends when every marginal is met to ``EXACT``, or when a round takes less than ``SLOW`` off the largest deviation.
+EXACT, SLOW = 1e-6, 1e-3
 
 
 def topic(text: Column) -> Column:
@@ -35,22 +40,46 @@ def tempered_targets(cells: DataFrame, marginal: str, temper: float = TEMPER) ->
     return sums.crossJoin(F.broadcast(sums.agg(F.sum("g").alias("all")))).select(marginal, (F.col("g") / F.col("all")).alias("goal"))  # one row
 
 
+def goals_of(cells: DataFrame, marginal: str, goals: DataFrame) -> DataFrame:
+    """``marginal, goal`` for the values that the cells have: a value without a goal has 0, and the others sum to 1."""
+    known = cells.select(marginal).distinct().join(goals, marginal, "left").withColumn("goal", F.coalesce(F.col("goal").cast("double"), F.lit(0.0)))
+    total = known.agg(F.sum("goal").alias("all"))  # one row
+    return known.crossJoin(F.broadcast(total)).select(marginal, F.when(F.col("all") > 0, F.col("goal") / F.col("all")).otherwise(0.0).alias("goal"))
+
+
+def marginal_shares(raked: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
+    """``marginal, value, goal, share``: what the raked weights give to each value, beside its goal."""
+    parts = []
+    for m, goals in targets.items():
+        shares = raked.groupBy(m).agg(F.sum("weight").alias("share")).join(goals_of(raked, m, goals), m)
+        parts.append(shares.select(F.lit(m).alias("marginal"), F.col(m).alias("value"), "goal", "share"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def rake(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
-    """``cells`` with ``weight``: shares that meet every marginal's ``goal`` to ``EXACT``, or after ``ROUNDS`` rounds."""
+    """``cells`` with ``weight``: shares that meet the goals of every marginal.
+
+    Goals that can't be met together (a source with one language only) are approached until a round brings next to
+    nothing; ``marginal_shares`` shows what is left. Cells of a value without a goal have weight 0.
+    """
     cells = cells.withColumn("weight", F.col("tokens").cast("double"))
     for m, goals in targets.items():
-        cells = cells.join(goals.withColumnRenamed("goal", f"goal_{m}"), m)
-    for _ in range(ROUNDS):
+        cells = cells.join(goals_of(cells, m, goals).withColumnRenamed("goal", f"goal_{m}"), m)
+    before = math.inf
+    while True:
         for m in targets:
-            sums = cells.groupBy(m).agg((F.first(f"goal_{m}") / F.sum("weight")).alias("__factor"))
+            total = F.sum("weight")
+            sums = cells.groupBy(m).agg(F.when(total > 0, F.first(f"goal_{m}") / total).otherwise(0.0).alias("__factor"))
             cells = cells.join(sums, m).withColumn("weight", F.col("weight") * F.col("__factor")).drop("__factor")
         cells = materialise(cells, "raked")
         off = 0.0
         for m in targets:
-            sums = cells.groupBy(m).agg(F.abs(F.sum("weight") / F.first(f"goal_{m}") - 1).alias("off"))
+            goal = F.first(f"goal_{m}")
+            sums = cells.groupBy(m).agg(F.when(goal > 0, F.abs(F.sum("weight") / goal - 1)).alias("off"))
             off = max(off, sums.agg(F.max("off")).first()[0] or 0.0)
-        if off < EXACT:
+        if off < EXACT or off > before * (1 - SLOW):
             break
+        before = off
     return cells.drop(*(f"goal_{m}" for m in targets))
 
 
@@ -73,8 +102,9 @@ def calibrated(cells: DataFrame, budget: float) -> DataFrame:
 def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float = BUDGET, seed: int = 11) -> DataFrame:
     """The columns of ``docs`` with ``__source, __lang, __topic, __tokens, __probability, __kept``.
 
-    ``targets``: for each marginal a table of its values (written ``=value``, or ``null``) and goals that sum to 1;
-    without it the tempered shares of ``docs`` itself.
+    ``targets``: for each marginal a table of its values (written ``=value``, or ``null``) and goals; goals count relative to
+    those of the values there are, and documents of a value without a goal have probability 0. Without it the tempered
+    shares of ``docs`` itself.
     """
     value = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null")) if c in docs.columns else F.lit("null")
     u = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(1 << 53)) / F.lit(float(1 << 53))
@@ -86,5 +116,5 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, budget: fl
     cells = materialise(keyed.groupBy(*named).agg(F.sum("__tokens").alias("tokens")), "cells")
     targets = targets or {m: tempered_targets(cells, m) for m in MARGINALS}
     drawn = materialise(calibrated(rake(cells, targets), budget), "drawn").select(*(F.col(m).alias(f"__{m}") for m in MARGINALS), F.col("probability").alias("__probability"))
-    placed = keyed.join(drawn, [f"__{m}" for m in MARGINALS], "left").withColumn("__kept", F.col("__u") < F.col("__probability"))
+    placed = keyed.join(drawn, [f"__{m}" for m in MARGINALS], "left").withColumn("__kept", F.coalesce(F.col("__u") < F.col("__probability"), F.lit(False)))
     return placed.select(*(f"`{c}`" for c in docs.columns), *(f"__{m}" for m in MARGINALS), "__tokens", "__probability", "__kept")

@@ -26,7 +26,10 @@ MAX_LOSS = 0.3
 
 
 def line_fails(line: Column) -> Column:
-    """Whether a line that has a word breaks a rule: ending, navigation, boilerplate, shouting or symbols."""
+    """Whether a line that has a word breaks a rule: ending, navigation, boilerplate, shouting or symbols.
+
+    A line shouts if it has as many characters in ``!!`` and ``??`` as words, or more.
+    """
     def judge(core: Column, n_words: Column) -> Column:
         without = lambda mark: F.length(core) - F.length(F.replace(core, F.lit(mark), F.lit("")))
         punctuation = ~core.rlike(ENDINGS) | (without("!!") + without("??") >= n_words)

@@ -8,7 +8,9 @@ task, which goes on recursively with smaller blocks and checks what is left by c
 
 Equal vectors are one class, so a group of copies costs one vector. Vectors that are null, empty, zero, or hold null
 or non-finite components link with nothing; vectors of different length never link. Rows with equal ``vec_id`` and
-different vectors stay rows of their own and share the smaller component.
+different vectors stay rows of their own and share the smaller component. A null ``vec_id`` counts as greater than all
+others, so it names a component only if it holds nothing else. Only ``vec_id`` and the vector are read, so other columns
+may have any name.
 """
 
 from __future__ import annotations

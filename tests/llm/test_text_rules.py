@@ -13,7 +13,7 @@ TEXTS = [
     None, "", " \n \t\n", PROSE, "\n".join([PROSE.replace("river", f"river {i}") for i in range(6)]),
     "\n".join(["Home | About | Contact", *[PROSE.replace("mill", f"mill {i}") for i in range(4)], "All rights reserved."]),
     "\n".join([f"one {i} | two | three" for i in range(40)]), "The " * 200 + ".", "\n".join([PROSE] * 5), "a### b$$$ c*** " * 60,
-    "WOW!! NOW!! BUY!! " * 30, "wordé\U0001f600 " * 3 + ".", PROSE + "\n\n" + PROSE.lower() + "\r\n" + PROSE, "x" * 300_000, ("q w e r t y " * 30_000) + ".",
+    "WOW!! NOW!! BUY!! " * 30, "\n".join(f"w{i}a!! w{i}b." for i in range(40)), "\n".join(f"w{i}a!! w{i}b w{i}c." for i in range(40)), "wordé\U0001f600 " * 3 + ".", PROSE + "\n\n" + PROSE.lower() + "\r\n" + PROSE, "x" * 300_000, ("q w e r t y " * 30_000) + ".",
 ]
 
 
@@ -30,7 +30,7 @@ def quality_row(text, max_loss=0.3):
         core = line.strip(SPACES)
         n = len(re.sub("[^\x20\x09-\x0d]+", "", core)) + 1
         fails = (
-            core[-1] not in ".!?:;…\"'”»)]" or core.count("!!") + core.count("??") >= n or sum(map(core.count, "|»›•·")) >= 2
+            core[-1] not in ".!?:;…\"'”»)]" or 2 * (core.count("!!") + core.count("??")) >= n or sum(map(core.count, "|»›•·")) >= 2
             or any(p in core.lower() for p in PHRASES) or sum(map(core.count, "#*$%&|<>")) > n
         )
         total += len(core)

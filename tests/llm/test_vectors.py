@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from pricelens.llm.vectors import near_vectors
 
@@ -39,3 +40,10 @@ def test_links_like_brute_force_with_copies_chains_and_bad_vectors(spark, monkey
     df = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<float>, n string")
     assert sorted(map(tuple, near_vectors(df).collect())) == brute(rows, 0.95)
     assert near_vectors(df.limit(0)).count() == 0
+
+
+def test_rows_without_an_id_and_clashing_columns(spark):
+    rows = [(None, [1.0, 0.0], 1), (None, [2.0, 0.0], 1), (5, [0.0, 1.0], 1), (None, [0.0, 3.0], 1), (6, [1.0, 1.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, component_id int").withColumn("n_links", F.lit("x"))
+    got = sorted(map(tuple, near_vectors(df).collect()), key=str)
+    assert got == sorted([(None, 1, None, True), (None, 1, None, True), (5, 1, 5, True), (None, 1, 5, False), (6, 0, 6, True)], key=str)
