@@ -7,8 +7,9 @@ wanted similarity share a shingle of their prefixes; documents with too few shar
 
 Documents with equal sets are one class, classes with equal prefix and size one group. Groups that share a prefix
 shingle form a list. A long list is not expanded into pairs at once: its groups are first compared with one of them, in a few
-rounds, and only groups that did not get into one component are then compared with each other. Group
-pairs are cut by size, expanded to classes, and verified on the whole sets.
+rounds, and only groups that did not get into one component are then compared with each other: first by one class of each
+component, at last by all their classes. Group pairs are cut by size and by the place of the shingle in both sets, expanded
+to classes, and verified on the whole sets.
 
 Sets are compared by 64-bit hashes of their shingles. Texts that are null or without words have an empty set and link
 with nothing; fewer words than a shingle needs are one shingle. Rows with equal ``doc_id`` are rows of their own; a
@@ -26,23 +27,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricelens.llm import hashing as H
-from pricelens.llm.common import text_print
+from pricelens.llm.common import text_print, trim
 from pricelens.llm.components import components
-from pricelens.session import materialise
+from pricelens.session import materialise, release_shuffles
 
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES = 8 << 20
 #: Bits of a shingle hash beyond those of the number of shingles that tell shingles apart when documents are counted.
 SPARE_BITS = 14
 #: Rounds in which the groups of long lists meet one of them each, and pairs per entry from which a list is long.
 PIVOT_ROUNDS, PAIRS_PER_ENTRY = 3, 4
 
 
-def in_chunks(docs: DataFrame, **more: Column) -> tuple[DataFrame, int, int]:
-    """``doc_id, text, pa, pb, chunk`` and the columns ``more``, the number of chunks, and the bytes of text."""
+def in_chunks(docs: DataFrame, chunk_bytes: int, **more: Column) -> tuple[DataFrame, int, int]:
+    """``doc_id, text, pa, pb, chunk`` and the columns ``more``, the number of chunks, and the bytes of text.
+
+    A row's chunk follows from its id, text and place in the scan, so that copies of a row spread too. The result is read
+    several times: ``docs`` should be a stored table, or anything else that gives its rows in the same places each time.
+    """
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    chunks = max(1, math.ceil(total / CHUNK_BYTES))
+    chunks = max(1, math.ceil(total / chunk_bytes))
     mark = text_print(F.col("text"))
-    chunk = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int")
+    chunk = F.pmod(F.xxhash64("doc_id", "text", F.monotonically_increasing_id()), F.lit(chunks)).cast("int")
     return docs.select("doc_id", "text", mark["a"].alias("pa"), mark["b"].alias("pb"), chunk.alias("chunk"), *(c.alias(n) for n, c in more.items())), chunks, total
 
 
@@ -56,6 +61,8 @@ def exchange_counts(chunked: DataFrame, keys: Callable, chunks: int, bits: int)
         part = (found >> shift).astype(np.int64)
         cuts = np.flatnonzero(np.diff(part, prepend=-1, append=-2))
         rows = [(int(part[s]), int(frame["chunk"].iloc[0]), H.pack(found[s:e]), H.pack_counts(own[s:e])) for s, e in zip(cuts[:-1], cuts[1:], strict=True)]
+        del found, own
+        trim()
         return pd.DataFrame(rows, columns=["part", "chunk", "keys", "own"])
 
     def answer(frame: pd.DataFrame) -> pd.DataFrame:
@@ -64,6 +71,8 @@ def exchange_counts(chunked: DataFrame, keys: Callable, chunks: int, bits: int)
         sums = np.bincount(place, weights=np.concatenate([H.unpack_counts(c) for c in frame["own"]])).astype(np.int64)
         ends = np.cumsum([len(x) for x in lists])
         replies = [H.pack_counts(np.minimum(sums[place[e - len(x) : e]], 2**32 - 1)) for e, x in zip(ends, lists, strict=True)]
+        del lists, place, sums
+        trim()
         return pd.DataFrame({"chunk": frame["chunk"], "part": frame["part"], "counts": replies})
 
     asked = chunked.groupBy("chunk").applyInPandas(ask, "part int, chunk int, keys binary, own binary")
@@ -72,7 +81,7 @@ def exchange_counts(chunked: DataFrame, keys: Callable, chunks: int, bits: int)
 
 def _sets(docs: DataFrame, n: int, per_cent: int) -> DataFrame:
     """Per row its print, set size and set hash; for rows that may have a partner also prefix and shared shingles."""
-    chunked, chunks, total = in_chunks(docs)
+    chunked, chunks, total = in_chunks(docs, CHUNK_BYTES)
     bits = min(64, SPARE_BITS + max(20, math.ceil(math.log2(total + 1))))
     drop = np.uint64(64 - bits)
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -103,6 +112,8 @@ def _sets(docs: DataFrame, n: int, per_cent: int) -> DataFrame:
                 row[3:] = [shared[order[:first]].view(np.int64).tolist(), shared.view(np.int64).tolist()]
             rows.append(row)
         out = pd.DataFrame(rows, columns=["n_shingles", "sa", "sb", "prefix", "shared"])
+        del rows, sets, short, place, counts
+        trim()
         return pd.concat([frame[["doc_id", "pa", "pb"]].reset_index(drop=True), out], axis=1)
 
     replies = exchange_counts(chunked, keys, chunks, bits)
@@ -140,41 +151,52 @@ def near_duplicates(docs: DataFrame, n: int = 5, per_cent: int = 80) -> DataFram
     sets = materialise(found.join(named, same).select("cid", "size", "shared").dropDuplicates(["cid"]), "class-sets")
     groups = materialise(classes.groupBy("ga", "gb", "size").agg(F.min("cid").alias("gid"), F.first("prefix").alias("prefix")), "groups")
     members = materialise(classes.select("ga", "gb", "size", "cid").join(groups.select("ga", "gb", "size", "gid"), ["ga", "gb", "size"]).select("gid", "cid"), "members")
-    lists = materialise(groups.select("gid", "size", F.explode("prefix").alias("token")), "prefix-lists")
+    # shared shingles from a prefix place on, its own included: no more can be common if the first common one stands there
+    need = F.ceil(F.lit(per_cent) * F.col("size") / 100).cast("int")
+    listed = groups.select("gid", "size", (F.size("prefix") + need - 1).alias("n"), F.posexplode("prefix").alias("place", "token"))
+    lists = materialise(listed.select("gid", "size", "token", (F.col("n") - F.col("place")).alias("rest")), "prefix-lists")
     alone = lists.groupBy("token").count().where("count > 1").select("token")
     lists = materialise(lists.join(alone, "token"), "prefix-lists")
 
     fits = F.lit(100) * F.least("size_a", "size_b") >= F.lit(per_cent) * F.greatest("size_a", "size_b")
+    fits &= F.lit(100 + per_cent) * F.least("rest_a", "rest_b") >= F.lit(per_cent) * (F.col("size_a") + F.col("size_b"))
     within = members.where("gid <> cid").select(F.col("gid").alias("a"), F.col("cid").alias("b"))
     edges = materialise(_verified(within, sets, per_cent), "similar")
-    for turn in range(PIVOT_ROUNDS + 1):
+    turn, whole = 0, False  # whole: all classes of groups stand for themselves
+    while True:
         parts = components(edges)
         placed = members.join(parts.withColumnRenamed("id", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
         placed = materialise(placed, "placed")
         # a group whose classes lie in several components counts as none of them
         groups_in = placed.groupBy("gid").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).select("gid", F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(-1 - F.col("gid")).alias("component"))
         entries = materialise(lists.join(groups_in, "gid"), "open-lists")
-        by_part = entries.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64(F.lit(turn), "gid").alias("draw"), "gid", "size")).alias("g"))
+        by_part = entries.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64(F.lit(turn), "gid").alias("draw"), "gid", "size", "rest")).alias("g"))
         per_list = by_part.groupBy("token").agg(
             F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.min(F.struct("g", "component")).alias("p"),
         ).where("parts > 1").withColumn("long", (F.col("n") * F.col("n") - F.col("squares")) / 2 > F.lit(PAIRS_PER_ENTRY) * F.col("n"))
         per_list = materialise(per_list, "open-lists")
-        last = turn == PIVOT_ROUNDS or per_list.where("long").isEmpty()
-        if last:  # all that is left between components
+        every = whole or turn >= PIVOT_ROUNDS or per_list.where("long").isEmpty()
+        if every:  # all that is left between components
             sides = entries.join(per_list.select("token"), "token")
-            b = sides.select("token", F.col("gid").alias("gb_"), F.col("size").alias("size_b"), F.col("component").alias("cb_"))
-            pairs = sides.withColumnRenamed("size", "size_a").join(b, "token").where((F.col("gid") < F.col("gb_")) & (F.col("component") != F.col("cb_")) & fits)
+            b = sides.select("token", F.col("gid").alias("gb_"), F.col("size").alias("size_b"), F.col("rest").alias("rest_b"), F.col("component").alias("cb_"))
+            pairs = sides.withColumnsRenamed({"size": "size_a", "rest": "rest_a"}).join(b, "token").where((F.col("gid") < F.col("gb_")) & (F.col("component") != F.col("cb_")) & fits)
             pairs = pairs.select(F.col("gid").alias("g1"), F.col("gb_").alias("g2")).distinct()
         else:  # the groups of a long list with one of them
-            pivots = per_list.where("long").select("token", F.col("p.g.gid").alias("g1"), F.col("p.g.size").alias("size_b"), F.col("p.component").alias("cb_"))
-            pairs = entries.withColumnRenamed("size", "size_a").join(pivots, "token").where((F.col("gid") != F.col("g1")) & (F.col("component") != F.col("cb_")) & fits)
+            pivots = per_list.where("long").select("token", F.col("p.g.gid").alias("g1"), F.col("p.g.size").alias("size_b"), F.col("p.g.rest").alias("rest_b"), F.col("p.component").alias("cb_"))
+            pairs = entries.withColumnsRenamed({"size": "size_a", "rest": "rest_a"}).join(pivots, "token").where((F.col("gid") != F.col("g1")) & (F.col("component") != F.col("cb_")) & fits)
             pairs = pairs.select("g1", F.col("gid").alias("g2")).distinct()
-        one = placed.select(F.col("gid").alias("g1"), F.col("cid").alias("a"), F.col("component").alias("pa"))
-        two = placed.select(F.col("gid").alias("g2"), F.col("cid").alias("b"), F.col("component").alias("pb"))
-        expanded = pairs.join(one, "g1").join(two, "g2").where("pa <> pb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        # before the last round one class stands for all of a group that lie in one component; the last round leaves out
+        # pairs of groups of one class each, which have been tried so
+        kinds = F.count(F.lit(1)).alias("kinds")
+        tried = placed.join(placed.groupBy("gid").agg(kinds), "gid") if whole else placed.groupBy("gid", "component").agg(F.min("cid").alias("cid")).withColumn("kinds", F.lit(2))
+        one = tried.select(F.col("gid").alias("g1"), F.col("cid").alias("a"), F.col("component").alias("pa"), F.col("kinds").alias("ka"))
+        two = tried.select(F.col("gid").alias("g2"), F.col("cid").alias("b"), F.col("component").alias("pb"), F.col("kinds").alias("kb"))
+        expanded = pairs.join(one, "g1").join(two, "g2").where("pa <> pb AND (ka > 1 OR kb > 1)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         edges = materialise(edges.unionByName(_verified(expanded, sets, per_cent)), "similar")
-        if last:
+        release_shuffles(docs.sparkSession)
+        if whole:
             break
+        turn, whole = turn + 1, every
     split = placed.groupBy("gid").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("gid")
     rest = placed.join(split, "gid")
     other = rest.select("gid", F.col("cid").alias("b"), F.col("component").alias("cb_"))
