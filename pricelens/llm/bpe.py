@@ -2,7 +2,9 @@
 
 The merge list fixes how many bytes beyond a token end can still change it (``lookahead``). A piece is therefore read
 through a buffer of fixed length: tokens that end at least that many bytes before the end of the buffer are stable
-and leave, the rest waits for more bytes. A null text counts as the empty text, and the empty text has no tokens.
+and leave, the rest waits for more bytes. The pieces of one text are held together, and its ids are one cell, so memory
+grows with the longest text but not with their number. A null text counts as the empty text, and the empty text has no
+tokens. Equal rows are encoded alike.
 Rows are independent; columns other than ``doc_id`` and ``text`` are not read.
 """
 

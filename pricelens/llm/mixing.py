@@ -16,12 +16,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricelens.llm.common import split_words
-from pricelens.session import materialise
+from pricelens.session import materialise, release_shuffles
 
 MARGINALS = ("source", "lang", "topic")
 TEMPER, BUDGET = 0.7, 0.8
-#: Raking ends when every marginal is met to ``EXACT``, or when a round takes less than ``SLOW`` off the largest deviation.
-EXACT, SLOW = 1e-6, 1e-3
+#: Raking ends when every marginal is met to ``EXACT``, or when a round takes less than the share ``SLOW`` off the largest deviation.
+EXACT, SLOW = 1e-6, 1e-2
 
 
 def topic(text: Column) -> Column:
@@ -64,22 +64,23 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
     """
     cells = cells.withColumn("weight", F.col("tokens").cast("double"))
     for m, goals in targets.items():
-        cells = cells.join(goals_of(cells, m, goals).withColumnRenamed("goal", f"goal_{m}"), m)
-    before = math.inf
+        cells = cells.join(materialise(goals_of(cells, m, goals).withColumnRenamed("goal", f"goal_{m}"), "goals"), m)
+    cells, before = materialise(cells, "cells-with-goals"), math.inf
     while True:
         for m in targets:
             total = F.sum("weight")
             sums = cells.groupBy(m).agg(F.when(total > 0, F.first(f"goal_{m}") / total).otherwise(0.0).alias("__factor"))
             cells = cells.join(sums, m).withColumn("weight", F.col("weight") * F.col("__factor")).drop("__factor")
         cells = materialise(cells, "raked")
-        off = 0.0
-        for m in targets:
-            goal = F.first(f"goal_{m}")
-            sums = cells.groupBy(m).agg(F.when(goal > 0, F.abs(F.sum("weight") / goal - 1)).alias("off"))
-            off = max(off, sums.agg(F.max("off")).first()[0] or 0.0)
+        # the largest deviation of all marginals in one pass over the cells
+        listed = cells.select(F.explode(F.array(*(F.struct(F.lit(m).alias("m"), F.col(m).alias("v"), F.col(f"goal_{m}").alias("goal"), "weight") for m in targets))).alias("x")).select("x.*")
+        goal = F.first("goal")
+        sums = listed.groupBy("m", "v").agg(F.when(goal > 0, F.abs(F.sum("weight") / goal - 1)).alias("off"))
+        off = sums.agg(F.max("off")).first()[0] or 0.0
         if off < EXACT or off > before * (1 - SLOW):
             break
         before = off
+    release_shuffles(cells.sparkSession)
     return cells.drop(*(f"goal_{m}" for m in targets))
 
 
