@@ -230,7 +230,7 @@ def test_newest_files_are_chosen_before_reading(spark, rows, tmp_path):
     for name in ("XML/Sabag/2017-12.csv", "XML/Sabag/2018-01.csv", "XML/Saneo/2017-[11].csv", "XML/Saneo/2016.csv", "XML/Saneo/z.txt"):
         (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
         (tmp_path / name).write_text(f"a\n{name}\n")
-    for name in ("2018 Lauf 1 CRH/x/KOMPRS.DAT", "2018 Lauf 2 CRH/KOMPRS.DAT", "2018 Lauf 2 CRH/y/KOMART0.DAT", "zuletzt/KOMPRS.DAT"):
+    for name in ("2018 Lauf 1 ABC/x/KOMPRS.DAT", "2018 Lauf 2 ABC/KOMPRS.DAT", "2018 Lauf 2 ABC/y/KOMART0.DAT", "zuletzt/KOMPRS.DAT"):
         (tmp_path / "Stamm" / name).parent.mkdir(parents=True, exist_ok=True)
         (tmp_path / "Stamm" / name).write_text("x\n")
     newest = newest_per_folder(list_files(spark, str(tmp_path / "XML"), ".csv"))
@@ -238,7 +238,7 @@ def test_newest_files_are_chosen_before_reading(spark, rows, tmp_path):
     assert rows(table) == [("XML/Sabag/2018-01.csv",), ("XML/Saneo/2017-[11].csv",)] and len(table.inputFiles()) == 2
     assert rows(newest_file(list_files(spark, str(tmp_path / "XML"), ".csv")), "name") == [("2018-01.csv",)]
     runs = list_files(spark, str(tmp_path / "Stamm"), ".DAT")
-    assert rows(newest_folder(runs, str(tmp_path / "Stamm"), ".*Lauf.*CRH"), "name") == [("KOMART0.DAT",), ("KOMPRS.DAT",)]
+    assert rows(newest_folder(runs, str(tmp_path / "Stamm"), ".*Lauf.*ABC"), "name") == [("KOMART0.DAT",), ("KOMPRS.DAT",)]
     assert newest_folder(runs, str(tmp_path / "Stamm"), "nichts").count() == 0
 
 
