@@ -55,6 +55,13 @@ def lookahead(pairs: list[tuple[int, int]], made: list[int], length: dict[int, i
     return max(reach.values(), default=0) + max(length.values())
 
 
+def token_bytes(spec: dict) -> dict[int, bytes]:
+    """The bytes of every id of a tokenizer file, special tokens included."""
+    byte_of = {letter: b for b, letter in enumerate(byte_letters())}
+    plain = {i: bytes(byte_of[c] for c in token) for token, i in spec["model"]["vocab"].items()}
+    return plain | {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
+
+
 class Transducer:
     """Encoder of one vocabulary; holds the merge table and a bounded memo of pieces."""
 
@@ -62,12 +69,9 @@ class Transducer:
         spec = json.loads(source)
         model = spec["model"]
         vocab = model["vocab"]
-        letters = byte_letters()
-        byte_of = {letter: b for b, letter in enumerate(letters)}
-        self.text_of = {i: bytes(byte_of[c] for c in token) for token, i in vocab.items()}
-        self.of_byte = [vocab[letter] for letter in letters]
+        self.text_of = token_bytes(spec)
+        self.of_byte = [vocab[letter] for letter in byte_letters()]
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.text_of |= {i: content.encode() for content, i in self.added.items()}
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         pairs = [(vocab[a], vocab[b]) for a, b in merges]
         made = [vocab[a + b] for a, b in merges]
@@ -161,7 +165,7 @@ def transducer(source: str) -> Transducer:
 
 @functools.lru_cache(maxsize=2)
 def text_machine(source: str) -> TextMachine:
-    return TextMachine(transducer(source).text_of)
+    return TextMachine(token_bytes(json.loads(source)))  # without the merge rules, which take most of the memory
 
 
 def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
