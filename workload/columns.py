@@ -2,6 +2,7 @@
 
 from datetime import date
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pricelens.functions import nulls as N
@@ -56,7 +57,9 @@ def _(spark, sf):
 @query("P7_competitor_columns", sql('SELECT "Konkurrenz" AS company, count("Preis") AS priced FROM competitor GROUP BY ALL', "competitor"))
 def _(spark, sf):
     offers = R.competitor_raw(spark, sf).select("ArtikelId", "FarbId", "Konkurrenz", F.col("Preis_Pos").cast("double").alias("Preis_Konkurrenz"))
-    keyed = offers.withColumn("UID", F.concat_ws("/", "ArtikelId", "FarbId"))
+    # article numbers of a competitor have six digits, so several articles may share one: the key tells them apart
+    nth = F.row_number().over(Window.partitionBy("Konkurrenz", "ArtikelId", "FarbId").orderBy("Preis_Konkurrenz"))
+    keyed = offers.withColumn("UID", F.concat_ws("/", "ArtikelId", F.coalesce("FarbId", F.lit("")), nth.cast("string")))
     wide = pivot_offers(keyed, R.COMPANIES, "Preis_Konkurrenz")
     found = companies_of(wide.columns)
     counts = wide.agg(*(F.count(f"Preis_Konkurrenz_{c}").alias(c) for c in found))
