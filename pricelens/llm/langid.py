@@ -4,9 +4,9 @@ Character n-grams of words (with blanks around them) are counted per language by
 order, numbers of distinct left neighbours below it. N-grams are hashed to ``bits`` bits (at most 31), which bounds the model
 whatever the corpus: at most ``2^bits`` entries an order and language, kept as sorted hash arrays. N-grams that meet in
 one entry are counted together; more bits keep more of them apart, at the price of a larger model. A text goes to
-the language with the lowest cross-entropy per character, on a tie to the first by name; the spread of cross-entropies
-over a bounded sample of training texts (``CALIBRATION_ROWS`` different texts of each language at most) gives the bound
-beyond which a prediction is marked as rejected.
+the language with the lowest cross-entropy per character, on a tie to the first by name; the mean and the spread of the
+cross-entropies of all different training texts with a letter, each in its own language, give the bound beyond which a
+prediction is marked as rejected. ``identify_corpus`` takes them from the pass that predicts, so no text is scored twice.
 
 Null texts and texts without a letter are ``und`` with score 0 and rejected, as is everything if there are no training
 rows. Rows without a language are not learned from. Only ``text`` enters a prediction. A long text is one row's work: its
@@ -23,12 +23,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricelens.llm.hashing import mix
+from pricelens.session import materialise
 
-ORDER, HASH_BITS, CALIBRATION_ROWS, SPREADS = 5, 22, 500, 5.0
+ORDER, HASH_BITS, SPREADS = 5, 22, 5.0
 #: Scale of the differences of cross-entropy in the score, and characters beyond which a text is sure enough.
 SHARPNESS, LONG_TEXT = 4.0, 40
 #: Bounds of memory in a task: characters worked on at once, distinct words counted and known, and words looked up at once.
@@ -186,21 +187,24 @@ class Model:
         return out
 
 
-def train(docs: DataFrame, bits: int = HASH_BITS) -> tuple[Model | None, dict[str, float]]:
-    """The model of ``docs`` (``text, lang``) and, for each language, the highest cross-entropy that is not rejected."""
+def fit(docs: DataFrame, bits: int = HASH_BITS) -> Model | None:
+    """The model of ``docs`` (``text, lang``)."""
     rows = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", F.col("lang").cast("string").alias("lang"))
     counts = _counts(rows, bits).toPandas()  # bounded by the hash range, orders and languages
-    if counts.empty:
-        return None, {}
-    model = Model(counts, bits)
-    # of each language the texts with the smallest hashes, copies once: the hashes are cut before the texts are read again
-    hashed = rows.withColumn("h", F.xxhash64("text", "lang"))
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    picked = hashed.select("lang", "h").distinct().withColumn("nth", nth).where(F.col("nth") <= CALIBRATION_ROWS).drop("nth")
-    sample = hashed.join(F.broadcast(picked), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text")).toPandas()
-    own = model.entropies(sample["text"].tolist())[np.arange(len(sample)), sample["lang"].map({n: i for i, n in enumerate(model.langs)})]
-    stats = pd.DataFrame({"lang": sample["lang"], "h": own}).groupby("lang")["h"].agg(["mean", "std"]).fillna(0.5)
-    return model, {lang: float(r["mean"] + SPREADS * max(r["std"], 0.02)) for lang, r in stats.iterrows()}
+    return None if counts.empty else Model(counts, bits)
+
+
+def entropy_bounds(scored: DataFrame) -> dict[str, float]:
+    """For each language the highest cross-entropy that is not rejected, from all different texts of ``lang, h, own``."""
+    texts = scored.where(F.col("own").isNotNull()).groupBy("lang", "h").agg(F.min("own").alias("own"))
+    stats = texts.groupBy("lang").agg(F.avg("own").alias("mean"), F.coalesce(F.stddev_samp("own"), F.lit(0.5)).alias("std"))
+    return {r.lang: r["mean"] + SPREADS * max(r["std"], 0.02) for r in stats.collect()}
+
+
+def train(docs: DataFrame, bits: int = HASH_BITS) -> tuple[Model | None, dict[str, float]]:
+    """The model of ``docs`` (``text, lang``) and, for each language, the highest cross-entropy that is not rejected."""
+    model = fit(docs, bits)
+    return model, {} if model is None else entropy_bounds(_scored(docs, model, {}, F.col("lang")))
 
 
 @functools.lru_cache(maxsize=1)
@@ -209,28 +213,60 @@ def _known(model: str) -> dict[str, np.ndarray]:
     return {}
 
 
-def identify(docs: DataFrame, model: Model | None, bounds: dict[str, float], extra: dict[str, Column] | None = None) -> DataFrame:
-    """``doc_id``, the columns of ``extra``, ``lang_pred, score, entropy, rejected`` for every row."""
-    kept = docs.select("doc_id", *(c.alias(n) for n, c in (extra or {}).items()), "text")
-    name = uuid.uuid4().hex
-    shared = docs.sparkSession.sparkContext.broadcast((model, bounds))  # bounded, see the module's docstring
+def _scored(docs: DataFrame, model: Model | None, extra: dict[str, Column], lang: Column | None = None) -> DataFrame:
+    """The columns of ``extra``, ``lang_pred, score, entropy`` and, if a language to learn is given, ``lang``, the cross-entropy
+    ``own`` of a text in it and the text's hash ``h``. Without a letter all cross-entropies are null."""
+    # hashes are never null: with nulls they would become floating-point numbers in the tasks
+    added = {} if lang is None else {"lang": lang.cast("string"), "h": F.xxhash64("text")}
+    kept = docs.select(*(c.alias(n) for n, c in {**extra, **added}.items()), "text")
+    name, learning = uuid.uuid4().hex, lang is not None
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded, see the module's docstring
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, limits = shared.value
+        model = shared.value
         known = _known(name)
+        place = {} if model is None else {n: i for i, n in enumerate(model.langs)}
         for frame in frames:
             texts = frame["text"].tolist()
-            spoken = np.array([own is not None and t is not None and any(map(str.isalpha, t)) for t in texts], dtype=bool)
-            pred, score, entropy = np.full(len(texts), "und", dtype=object), np.zeros(len(texts)), np.full(len(texts), np.nan)
+            spoken = np.array([model is not None and t is not None and any(map(str.isalpha, t)) for t in texts], dtype=bool)
+            pred, score, entropy, own = np.full(len(texts), "und", dtype=object), np.zeros(len(texts)), np.full(len(texts), np.nan), np.full(len(texts), np.nan)
             if spoken.any():
-                h = own.entropies([t for t, s in zip(texts, spoken, strict=True) if s], known)
+                h = model.entropies([t for t, s in zip(texts, spoken, strict=True) if s], known)
                 best = h.argmin(1)
                 length = np.minimum([len(t) for t, s in zip(texts, spoken, strict=True) if s], LONG_TEXT)
-                pred[spoken] = np.array(own.langs, dtype=object)[best]
+                pred[spoken] = np.array(model.langs, dtype=object)[best]
                 score[spoken] = 1.0 / np.exp(-(h - h.min(1, keepdims=True)) * SHARPNESS * length[:, None] / LONG_TEXT * 4).sum(1)
                 entropy[spoken] = h.min(1)
-            over = np.array([not s or e > limits.get(p, np.inf) for s, e, p in zip(spoken, entropy, pred, strict=True)], dtype=bool)
-            yield frame.drop(columns="text").assign(lang_pred=pred, score=score, entropy=np.where(spoken, entropy, 0.0), rejected=over)
+                if learning:
+                    at = np.array([place.get(n, -1) for n in frame["lang"][spoken]])
+                    own[spoken] = np.where(at >= 0, h[np.arange(len(h)), at], np.nan)
+            out = frame.drop(columns="text").assign(lang_pred=pred, score=score, entropy=entropy)
+            yield out.assign(own=own) if learning else out
+
+    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept.drop("text").schema)
+    own = ", own double" if learning else ""
+    return kept.mapInPandas(run, f"{fields}lang_pred string, score double, entropy double{own}")
+
+
+def _judged(scored: DataFrame, bounds: dict[str, float]) -> DataFrame:
+    """``entropy`` 0 without a letter, and ``rejected``."""
+    limit = F.lit(None).cast("double")
+    for name, bound in bounds.items():
+        limit = F.when(F.col("lang_pred") == name, F.lit(bound)).otherwise(limit)
+    over = F.col("entropy").isNull() | F.coalesce(F.col("entropy") > limit, F.lit(False))
+    return scored.withColumn("rejected", over).withColumn("entropy", F.coalesce("entropy", F.lit(0.0)))
+
+
+def identify(docs: DataFrame, model: Model | None, bounds: dict[str, float], extra: dict[str, Column] | None = None) -> DataFrame:
+    """``doc_id``, the columns of ``extra``, ``lang_pred, score, entropy, rejected`` for every row."""
+    return _judged(_scored(docs, model, {"doc_id": F.col("doc_id"), **(extra or {})}), bounds)
+
+
+def identify_corpus(docs: DataFrame, learned: Column, extra: dict[str, Column] | None = None, bits: int = HASH_BITS) -> DataFrame:
+    """``identify`` for all ``docs``, after learning from those where ``learned`` holds.
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.drop("text").schema)
-    return kept.mapInPandas(run, f"{fields}, lang_pred string, score double, entropy double, rejected boolean")
+    Each text is scored once: the numbers of the training texts give the bounds, which are applied to the stored numbers.
+    """
+    own = F.when(learned, F.col("lang"))
+    scored = materialise(_scored(docs, fit(docs.where(learned), bits), {"doc_id": F.col("doc_id"), **(extra or {})}, own), "languages")
+    return _judged(scored, entropy_bounds(scored)).drop("lang", "h", "own")

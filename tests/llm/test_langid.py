@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 import numpy as np
 from pyspark.sql import functions as F
 
-from pricelens.llm.langid import identify, train
+from pricelens.llm.langid import SPREADS, fit, identify, identify_corpus, train
 
 
 def test_held_out_accuracy_and_undetermined_texts(spark):
@@ -95,3 +95,16 @@ def test_cross_entropies_like_plain_kneser_ney(spark):
     want = np.array([[entropy(t, lang) for lang in langs] for t in tested])
     assert np.abs(got - want).max() < 1e-5
     assert (got.argmin(1) == want.argmin(1)).all()
+
+
+def test_bounds_come_from_all_training_texts(spark):
+    """More than 500 different texts of a language: every one counts, once, and one pass gives what two give."""
+    texts = [f"der hund {i} und die katze {chr(97 + i % 26) * (i % 9 + 1)}" for i in range(700)]
+    rows = [(i, t, "de") for i, t in enumerate([*texts, *texts[:300]])] + [(2000, "the dog and cat", "en"), (2001, "12 34", "en"), (2002, None, "de"), (2003, "xx", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model, bounds = train(docs)
+    own = fit(docs).entropies(texts)[:, model.langs.index("de")]
+    assert abs(bounds["de"] - (own.mean() + SPREADS * max(own.std(ddof=1), 0.02))) < 1e-9
+    got = identify_corpus(docs, F.lit(True)).toPandas().sort_values("doc_id", ignore_index=True)
+    want = identify(docs, model, bounds).toPandas().sort_values("doc_id", ignore_index=True)
+    assert got.equals(want[got.columns])
