@@ -73,6 +73,7 @@ def test_salts_follow_the_rows_of_a_key(spark, rows):
     key = F.when(F.col("id") < 200, "hot").when(F.col("id") < 215, "warm").when(F.col("id") < 225, "cool")
     big = spark.range(1000).select("id", key.alias("k"), F.lit(1).alias("one"))
     assert rows(salt_table(big, ["k", "one"], 10)) == [("hot", 1, 20), ("warm", 1, 2)]  # 775 rows without a key take no place
+    assert rows(salt_table(big, ["k", "one"], 10, buckets=1)) == [("hot", 1, 20), ("warm", 1, 2)]  # keys that share a bucket
     joined = skew_join(big, spark.createDataFrame([("hot", 1)], "k string, v int"), "k", "left", 10)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
@@ -246,3 +247,40 @@ def test_rank_of_one_large_group(spark):
     priced = sorted((r.Preisdifferenz, r.id) for r in ranked if r.Preisdifferenz is not None)
     assert {(r.Preisdifferenz, r.id): r.Rank for r in ranked if r.Rank is not None} == {k: i + 1 for i, k in enumerate(priced)}
     assert len(ranked) == 2000
+
+
+def sort_merge_depth(df):
+    """How many sort-merge joins lie on one path of the plan, at most."""
+    path, deepest = [], 0
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        indent = len(line) - len(line.lstrip(" :+-"))
+        path = [i for i in path if i < indent] + ([indent] if "SortMergeJoin" in line else [])
+        deepest = max(deepest, len(path))
+    return deepest
+
+
+@pytest.mark.parametrize("single", [False, True])
+def test_matches_of_a_shared_key_are_not_shuffled_again(spark, rows, single):
+    left = with_empty_offer(spark.range(60).select(F.col("id").cast("string").alias("UID"), F.concat(F.lit("e"), F.col("id") % 50).alias("EAN"), F.concat(F.lit("same"), F.col("id") % 1).alias("maker")))
+    right = spark.range(40).select(
+        F.concat(F.lit("e"), "id").alias("EAN"), F.concat(F.lit("same"), F.col("id") % 1).alias("maker"), F.col("id").cast("double").alias("Preis"),
+        F.lit("k").alias("Art_Txt_Kurz"), F.lit("l").alias("Art_Txt_Lang"),
+    )
+    keys = [JoinKey.of("EAN"), JoinKey.of("maker")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = single_join_cascade(left, right, keys, "UID") if single else chained_cascade(left, right, keys)
+        counts = rows(got.groupBy("Joined_on").count())
+        depth = sort_merge_depth(got)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert counts == [("EAN", 50), ("maker", 10 * 40)]
+    assert depth == 1
+
+
+def test_cascade_keys_with_empty_and_null_parts_match_once(spark, rows):
+    left = with_empty_offer(spark.createDataFrame([("a", "n", ""), ("b", "n", None), ("c", None, ""), ("c", "x", "f")], "UID string, num string, Farbe string"))
+    right = spark.createDataFrame([("n", "", 1.0), ("n", None, 2.0), (None, "", 3.0)], "art string, Farbe string, Preis double")
+    right = right.withColumns({n: F.lit("t") for n in ("Art_Txt_Kurz", "Art_Txt_Lang")})
+    got = chained_cascade(left, right, KEYS[:1])
+    assert rows(got, "UID", "Preis_Konkurrenz") == [("a", 1.0), ("a", 2.0), ("b", 1.0), ("b", 2.0), ("c", None), ("c", None)]
