@@ -5,6 +5,7 @@ import pytest
 
 from pricelens.llm import suffixes
 from pricelens.llm.suffixes import bwt_repeats, without_repeats
+from pricelens.session import materialise
 
 
 def brute(texts, length):
@@ -53,3 +54,32 @@ def test_column_wise_bwt_finds_all_repeats():
     seen = Counter(s[i : i + 8] for s in segments for i in range(len(s) - 7))
     for s, hit in zip(segments, bwt_repeats(segments, 8), strict=True):
         assert hit.tolist() == [seen[s[i : i + 8]] > 1 for i in range(len(s) - 7)]
+
+
+@pytest.mark.parametrize("width", [8, 16, 32])
+def test_wide_symbols_find_all_repeats(monkeypatch, width):
+    monkeypatch.setattr(suffixes, "WIDTH", width)
+    draw = random.Random(width)
+    for length in (1, 7, 16, 33):
+        base = bytes(draw.choice(b"ab\0") for _ in range(90))
+        segments = list({base[draw.randint(0, 40) : draw.randint(41, 90)] + bytes(draw.choice(b"abc\0") for _ in range(draw.randint(length, length + 40))) for _ in range(40)})
+        seen = Counter(s[i : i + length] for s in segments for i in range(len(s) - length + 1))
+        for s, hit in zip(segments, bwt_repeats(segments, length), strict=True):
+            assert hit.tolist() == [seen[s[i : i + length]] > 1 for i in range(len(s) - length + 1)]
+
+
+def test_a_round_passes_over_several_bytes(monkeypatch):
+    rounds, plain = [], suffixes.np.bincount
+    monkeypatch.setattr(suffixes.np, "bincount", lambda *a, **k: (rounds.append(1), plain(*a, **k))[1])
+    draw = random.Random(6)
+    text = bytes(draw.choice(b"abcd") for _ in range(799))
+    assert [h.sum() for h in bwt_repeats([text, b"x" + text[100:700]], 400)] == [201, 201]
+    assert len(rounds) <= 799 // 8 + 2
+
+
+def test_only_names_with_too_many_segments_are_named_anew(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(suffixes, "materialise", lambda df, name: (asked.append(name), materialise(df, name))[1])
+    df = spark.createDataFrame(list(enumerate(texts())), "doc_id long, text string")
+    assert without_repeats(df, length=60).count() == len(texts())
+    assert "renamed" not in asked
