@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pricelens.llm.common import trim
 
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-#: Memoised pieces of a task: at most so many, of at most so many characters.
+#: Memoised pieces of a task: at most twice so many, of at most so many characters.
 MEMO_PIECES, MEMO_CHARS = 200_000, 64
 #: Tokens that the decoder takes at a time.
 DECODE_BLOCK = 65_536
@@ -76,10 +76,12 @@ class Transducer:
         pairs = [(vocab[a], vocab[b]) for a, b in merges]
         made = [vocab[a + b] for a, b in merges]
         self.rules = {pair: (rank, token) for rank, (pair, token) in enumerate(zip(pairs, made, strict=True))}
+        self.name_of = {i: str(i) for i in self.text_of}
         self.ahead = lookahead(pairs, made, {i: len(t) for i, t in self.text_of.items()})
         self.buffer = 4 * self.ahead
         self.split_added = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
-        self.memo: dict[str, tuple[str, int]] = {}
+        self.memo: dict[str, str] = {}
+        self.older: dict[str, str] = {}  # the memo before, so that pieces that recur are not forgotten
 
     def merged(self, data: bytes) -> list[int]:
         """The tokens of a byte string that ends here: rules in order of rank, leftmost first."""
@@ -118,28 +120,27 @@ class Transducer:
                 at += len(self.text_of[token])
         yield from self.merged(data[at:])
 
-    def piece(self, piece: str) -> tuple[str, int]:
-        ids = list(self.stream(piece.encode()))
-        out = (",".join(map(str, ids)), len(ids))
+    def piece(self, piece: str) -> str:
+        out = self.memo.get(piece) or self.older.get(piece)
+        if out is None:
+            out = ",".join(map(self.name_of.__getitem__, self.stream(piece.encode())))
         if len(piece) <= MEMO_CHARS:
             if len(self.memo) >= MEMO_PIECES:
-                self.memo.clear()
+                self.memo, self.older = {}, self.memo
             self.memo[piece] = out
         return out
 
     def encode(self, text: str) -> tuple[str, int]:
         """Decimal ids joined by commas, and their number."""
-        parts, count, memo = [], 0, self.memo
+        parts = []
         for i, run in enumerate(self.split_added.split(text) if self.split_added else [text]):
             if i % 2:
-                parts.append(str(self.added[run]))
-                count += 1
+                parts.append(self.name_of[self.added[run]])
                 continue
-            for piece in PIECES.findall(run):
-                ids, n = memo.get(piece) or self.piece(piece)
-                parts.append(ids)
-                count += n
-        return ",".join(parts), count
+            pieces = PIECES.findall(run)
+            parts += [ids or self.piece(piece) for ids, piece in zip(map(self.memo.get, pieces), pieces)]
+        ids = ",".join(parts)
+        return ids, ids.count(",") + 1 if ids else 0
 
 
 class TextMachine:

@@ -37,6 +37,19 @@ def test_long_pieces_stream_like_the_library(library, work):
     same(library, work, "=" * 9_999 + "\n" * 5_000 + "x")
 
 
+def test_pieces_that_recur_are_not_merged_again(library, work, monkeypatch):
+    from pricelens.llm import bpe
+
+    monkeypatch.setattr(bpe, "MEMO_PIECES", 10)
+    monkeypatch.setattr(work, "memo", {})
+    monkeypatch.setattr(work, "older", {}, raising=False)
+    merged, plain = [], work.merged
+    monkeypatch.setattr(work, "merged", lambda data: (merged.append(data), plain(data))[1])
+    for i in range(40):
+        same(library, work, f" often{' often'.join(f' rare{chr(97 + i % 26)}{chr(97 + j)}' for j in range(4))}")
+    assert merged.count(b" often") == 1 and len(work.memo) <= 10 and len(work.older) <= 10
+
+
 def test_every_space_and_letter_class_splits_like_the_library(library, work):
     points = [*range(0xD800), *range(0xE000, 0x11000), *range(0x1F300, 0x1F700)]
     for start in range(0, len(points), 512):
