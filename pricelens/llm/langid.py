@@ -20,6 +20,7 @@ import functools
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -68,12 +69,37 @@ def slices(texts: list[str]) -> Iterator[list[str]]:
         yield held
 
 
-def distinct_words(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Distinct lower-case words, the word numbers of all texts in a row, and the words of each text."""
-    split = [t.lower().split() for t in texts]
-    counts = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
-    codes, words = pd.factorize(np.array([w for s in split for w in s], dtype=object))
-    return list(words), codes, counts
+def sorted_groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers of ``keys`` (of at most 31 bits) in order, and the place of each key among them."""
+    packed = (keys.astype(np.int64) << 32) | np.arange(len(keys))
+    packed.sort()  # much faster than to sort places by their keys
+    ordered = packed >> 32
+    new = np.append(True, ordered[1:] != ordered[:-1])
+    place = np.empty(len(keys), dtype=np.int64)
+    place[packed & 0xFFFFFFFF] = np.cumsum(new) - 1
+    return ordered[new].astype(np.int32), place
+
+
+class Known:
+    """Words that are known, and for each its cross-entropies by language and its places (letters and the end)."""
+
+    def __init__(self, langs: int) -> None:
+        self.number: dict[str, int] = {}
+        self.rows, self.places = np.empty((1 << 10, langs)), np.empty(1 << 10, dtype=np.int64)
+
+    def add(self, words: list[str], rows: np.ndarray) -> None:
+        start, stop = len(self.number), len(self.number) + len(words)
+        if stop > len(self.rows):
+            more = max(stop, 3 * len(self.rows) // 2) - start
+            self.rows = np.concatenate([self.rows[:start], np.empty((more, self.rows.shape[1]))])
+            self.places = np.concatenate([self.places[:start], np.empty(more, dtype=np.int64)])
+        self.rows[start:stop] = rows
+        self.places[start:stop] = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1
+        self.number.update(zip(words, range(start, stop), strict=True))
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """The number of each word, -1 if it is not known."""
+        return np.fromiter(map(self.number.get, words, repeat(-1)), dtype=np.int64, count=len(words))
 
 
 def _gram_counts(lang: str, seen: Counter, bits: int) -> Iterator[pd.DataFrame]:
@@ -147,10 +173,17 @@ class Model:
         """Minus natural log probability of each word, by language."""
         keys, owner = gram_keys(words, self.bits)
         at = np.flatnonzero(owner >= 0)
+        used = owner >= 0
+        used[at - 1] = True
+        index = np.cumsum(used) - 1
+        here, before = index[at], index[at - 1]
         p = np.full((len(at), len(self.langs)), self.floor)
-        for k in range(1, ORDER + 1):
-            p *= self._rows(self.contexts[k - 1], self.left[k - 1], keys[k - 1][at - 1], 1.0)
-            p += self._rows(self.keys[k - 1], self.share[k - 1], keys[k][at], 0.0)
+        for k in range(ORDER + 1):  # the n-grams of an order are the contexts of the next one
+            wanted, place = sorted_groups(keys[k][used])
+            if k:
+                p += self._rows(self.keys[k - 1], self.share[k - 1], wanted, 0.0)[place[here]]
+            if k < ORDER:
+                p *= self._rows(self.contexts[k], self.left[k], wanted, 1.0)[place[before]]
         out = np.zeros((len(words), len(self.langs)))
         for lang in range(len(self.langs)):
             out[:, lang] = np.bincount(owner[at], weights=-np.log(p[:, lang]), minlength=len(words))
@@ -158,32 +191,34 @@ class Model:
 
     @staticmethod
     def _rows(table: np.ndarray, values: np.ndarray, wanted: np.ndarray, missing: float) -> np.ndarray:
-        keys, place = np.unique(wanted.astype(np.int32), return_inverse=True)  # in order, the search stays in the cache
-        at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-        return np.where((table[at] == keys)[:, None], values[at], np.float32(missing))[place]
+        at = np.minimum(np.searchsorted(table, wanted), len(table) - 1)  # in order, the search stays in the cache
+        return np.where((table[at] == wanted)[:, None], values[at], np.float32(missing))
 
-    def entropies(self, texts: list[str], known: dict[str, np.ndarray] | None = None) -> np.ndarray:
+    def entropies(self, texts: list[str], known: Known | None = None) -> np.ndarray:
         """Cross-entropy per character of each text, by language. ``known`` keeps the words of a task, up to ``WORDS_HELD``."""
-        known = {} if known is None else known
+        known = Known(len(self.langs)) if known is None else known
         return np.concatenate([self._of_slice(part, known) for part in slices(texts)] or [np.zeros((0, len(self.langs)))])
 
-    def _of_slice(self, texts: list[str], known: dict[str, np.ndarray]) -> np.ndarray:
-        words, codes, counts = distinct_words(texts)
+    def _of_slice(self, texts: list[str], known: Known) -> np.ndarray:
+        split = [t.lower().split() for t in texts]
+        words = list(chain.from_iterable(split))
         out = np.zeros((len(texts), len(self.langs)))
         if not words:
             return out
-        if len(known) >= WORDS_HELD:
-            known.clear()
-        fresh = [w for w in words if w not in known]
+        if len(known.number) >= WORDS_HELD:
+            known.number.clear()
+        codes = known.numbers(words)
+        missing = np.flatnonzero(codes < 0)
+        fresh = list(dict.fromkeys(words[i] for i in missing.tolist()))
         for at in range(0, len(fresh), WORD_BLOCK):
             block = fresh[at : at + WORD_BLOCK]
-            known.update(zip(block, self.word_entropies(block), strict=True))
-        by_word = np.stack([known[w] for w in words])
-        chars = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1
-        text = np.repeat(np.arange(len(texts)), counts)
-        n = np.maximum(np.bincount(text, weights=chars[codes], minlength=len(texts)), 1)
+            known.add(block, self.word_entropies(block))
+        codes[missing] = known.numbers([words[i] for i in missing.tolist()])
+        text = np.repeat(np.arange(len(texts)), np.fromiter(map(len, split), dtype=np.int64, count=len(split)))
+        n = np.maximum(np.bincount(text, weights=known.places[codes], minlength=len(texts)), 1)
+        by_word = known.rows[codes]
         for lang in range(len(self.langs)):
-            out[:, lang] = np.bincount(text, weights=by_word[codes, lang], minlength=len(texts)) / n
+            out[:, lang] = np.bincount(text, weights=by_word[:, lang], minlength=len(texts)) / n
         return out
 
 
@@ -208,9 +243,9 @@ def train(docs: DataFrame, bits: int = HASH_BITS) -> tuple[Model | None, dict[st
 
 
 @functools.lru_cache(maxsize=1)
-def _known(model: str) -> dict[str, np.ndarray]:
+def _known(model: str, langs: int) -> Known:
     """The words that a worker knows of a model, from one task to the next."""
-    return {}
+    return Known(langs)
 
 
 def _scored(docs: DataFrame, model: Model | None, extra: dict[str, Column], lang: Column | None = None) -> DataFrame:
@@ -224,7 +259,7 @@ def _scored(docs: DataFrame, model: Model | None, extra: dict[str, Column], lang
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = shared.value
-        known = _known(name)
+        known = _known(name, len(model.langs) if model else 0)
         place = {} if model is None else {n: i for i, n in enumerate(model.langs)}
         for frame in frames:
             texts = frame["text"].tolist()

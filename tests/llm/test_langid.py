@@ -108,3 +108,33 @@ def test_bounds_come_from_all_training_texts(spark):
     got = identify_corpus(docs, F.lit(True)).toPandas().sort_values("doc_id", ignore_index=True)
     want = identify(docs, model, bounds).toPandas().sort_values("doc_id", ignore_index=True)
     assert got.equals(want[got.columns])
+
+
+def test_words_and_n_grams_are_looked_up_once(monkeypatch):
+    import pandas as pd
+
+    from pricelens.llm import langid as L
+
+    words = {"de": ["der", "hund", "und", "katze"], "en": ["the", "dog", "and", "cat"]}
+    model = L.Model(pd.concat([f for lang, own in words.items() for f in L._gram_counts(lang, Counter(own), 22)]), 22)
+    scored, sorts, plain, groups = [], [], model.word_entropies, L.sorted_groups
+    monkeypatch.setattr(model, "word_entropies", lambda found: (scored.extend(found), plain(found))[1])
+    monkeypatch.setattr(L, "sorted_groups", lambda keys: (sorts.append(len(keys)), groups(keys))[1])
+    known = L.Known(2)
+    texts = [" ".join(f"hund{i} Cat{i % 7}" for i in range(j, j + 900)) for j in range(0, 2700, 300)]  # more words than the first room
+    first = model.entropies(texts, known)
+    assert len(scored) == len(set(scored)) == len(known.number) > 2700 and len(sorts) == L.ORDER + 1
+    assert (model.entropies(texts, known) == first).all() and len(sorts) == L.ORDER + 1
+    for text, row in zip(texts, first, strict=True):
+        own = text.lower().split()
+        assert np.abs(plain(own).sum(0) / (sum(map(len, own)) + len(own)) - row).max() < 1e-12
+
+
+def test_sorted_groups_like_numpy():
+    from pricelens.llm.langid import sorted_groups
+
+    draw = np.random.default_rng(2)
+    for n in (1, 5, 3000):
+        keys = draw.choice(draw.integers(0, 2**31, 1 + n // 3), n).astype(np.uint64)
+        for got, want in zip(sorted_groups(keys), np.unique(keys, return_inverse=True), strict=True):
+            assert (got == want).all()
