@@ -8,6 +8,7 @@ from pricelens.operators.cascade import best_offers, chained_cascade, match_rate
 from pricelens.operators.joins import aligned_update, fill_missing_join, left_join_present, salt_table, skew_join
 from pricelens.operators.nearest_value import nearest_value
 from pricelens.operators.ranking import keep_best, last_write_wins, price_difference, rank_candidates
+from pricelens.plans import match
 from pricelens.plans.match import match_catalogues
 from pricelens.plans.prepare import join_reference, prepare_catalogue
 from pricelens.settings import JoinKey, Settings
@@ -209,6 +210,24 @@ def test_match_catalogues(spark, rows):
     ]
 
 
+def test_rows_are_known_by_short_ids_and_meet_their_competitors_once(spark, rows, monkeypatch):
+    """128 bits go through the shuffles of a match; a row's text is repeated for its open competitors after the join."""
+    stored, write = {}, match.materialise
+    monkeypatch.setattr(match, "materialise", lambda df, name: stored.setdefault(name, (df, write(df, name)))[1])
+    article = ("1", None, None, "m1", None, "e1", "10", None, None, "rotes rad", "rotes rad")
+    main = prepare_catalogue(spark.createDataFrame([article, ("2", *article[1:3], "m2", None, "e2", *article[6:])], RAW))
+    other = prepare_catalogue(spark.createDataFrame([("X", "9", *article[1:]), ("Y", "8", *article[1:3], "m8", None, "e8", *article[6:])], "Konkurrenz string, " + RAW))
+    keys = (JoinKey.of("EAN"),)
+    result = match_catalogues(main, other, Settings("m", {"X": keys, "Y": keys}))
+    assert rows(result, "ArtikelId", "Konkurrenz", "Joined_on") == [
+        ("1", "X", "EAN"), ("1", "Y", "Text_Similarity"), ("2", "X", "Text_Similarity"), ("2", "Y", "Text_Similarity"),
+    ]
+    assert dict(stored["main"][1].dtypes)["row_id"] == "binary" and {len(r.row_id) for r in stored["main"][1].collect()} == {16}
+    plan = stored["open-rows"][0]._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(stored["open-rows"][1], "Konkurrenz") == [("X",), ("Y",), ("Y",)]
+    assert plan.index("Generate explode") < plan.index("Join")
+
+
 def test_article_without_price_leaves_other_matches_alone(spark, rows):
     def article(number, price, text):
         return (number, None, None, None, None, None, price, None, None, text, text)
